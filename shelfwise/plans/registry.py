@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.plans import analytics, oracle
+from shelfwise.plans import analytics, conversions, oracle
 
 
 def query_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     reg.update(analytics.QUERIES)
+    reg.update(conversions.QUERIES)
     return reg
 
 
 def oracle_queries() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql.update(oracle.ANALYTICS_SQL)
+    sql.update(conversions.ORACLE_SQL)
     keys = query_registry()
     return {k: v for k, v in sql.items() if k in keys}
