@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.plans import analytics, conversions, oracle, tables
+from shelfwise.plans import analytics, conversions, imports, oracle, tables
 
 
 def query_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def query_registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     reg.update(analytics.QUERIES)
     reg.update(conversions.QUERIES)
     reg.update(tables.QUERIES)
+    reg.update(imports.QUERIES)
     return reg
 
 
@@ -22,6 +23,7 @@ def oracle_queries() -> dict[str, str]:
     sql.update(oracle.ANALYTICS_SQL)
     sql.update(conversions.ORACLE_SQL)
     sql.update(tables.ORACLE_SQL)
+    sql.update(imports.ORACLE_SQL)
     for k in ("ddl_ctas", "ddl_save_as_table"):
         sql[k] = oracle.ANALYTICS_SQL["price_rank_cheap"]
     keys = query_registry()
