@@ -200,34 +200,41 @@ def busiest_day_rows(df: DataFrame, day: Column, day_name: str = "order_day") ->
 # Products per customer
 
 
-def customer_product_counts(
-    customers: DataFrame,
+def customer_product_pairs(
     orders: DataFrame,
     items: DataFrame,
     *,
-    customer_id: str,
-    customer_name: str,
     order_key: str,
     order_customer: str,
     item_order_key: str,
     item_product: str,
 ) -> DataFrame:
-    """Distinct products bought per customer (customers x orders x items).
+    """Distinct (customer_id, product_id) pairs bought (items x orders).
 
-    Plan: items(order, product) JOIN orders(order, customer) on the order key
-    -> distinct products per customer (shuffled on (customer, product), then
-    partial counts on customer) -> join customer names.  The count result is
-    already hash partitioned on the customer key, so the name join shuffles
-    only the customer table.  Output: ``customer_id, customer_name,
-    product_count``.
+    The join is on the order key; the distinct is a partial aggregate per
+    task, then one shuffle on (customer, product) -- balanced even when one
+    customer placed a third of all orders.
     """
-    bought = items.select(
-        F.col(item_order_key).alias("_order"), F.col(item_product).alias("_product")
-    ).join(
-        orders.select(F.col(order_key).alias("_order"), F.col(order_customer).alias("customer_id")),
-        "_order",
+    return (
+        items.select(F.col(item_order_key).alias("_order"), F.col(item_product).alias("product_id"))
+        .join(
+            orders.select(F.col(order_key).alias("_order"), F.col(order_customer).alias("customer_id")),
+            "_order",
+        )
+        .select("customer_id", "product_id")
+        .distinct()
     )
-    counts = bought.groupBy("customer_id").agg(F.count_distinct("_product").alias("product_count"))
+
+
+def customer_product_counts(pairs: DataFrame, customers: DataFrame, *, customer_id: str, customer_name: str) -> DataFrame:
+    """Distinct products per customer with the customer's name.
+
+    Counting the distinct pairs per customer shuffles only partial counts;
+    the result is hash partitioned on the customer key, so the name join
+    shuffles only the customer table.  Output: ``customer_id, customer_name,
+    product_count``.
+    """
+    counts = pairs.groupBy("customer_id").agg(F.count(F.lit(1)).alias("product_count"))
     names = customers.select(
         F.col(customer_id).alias("customer_id"), F.col(customer_name).alias("customer_name")
     )
@@ -245,35 +252,24 @@ def top_customers(counts: DataFrame, k: int = 10) -> DataFrame:
 
 def products_bought_by(
     products: DataFrame,
-    orders: DataFrame,
-    items: DataFrame,
+    pairs: DataFrame,
     buyers: DataFrame,
     *,
     product_id: str,
     price: str,
     price_below: float,
-    order_key: str,
-    order_customer: str,
-    item_order_key: str,
-    item_product: str,
-    buyer_id: str = "customer_id",
 ) -> DataFrame:
     """``select distinct p.* from products p join items join orders join
     buyers where price < price_below``.
 
-    ``buyers`` is a top-k result, so it is broadcast without a check.  Semi
-    joins replace the inner joins: they never multiply rows, so a buyer with a
-    third of all orders yields each of its products once instead of once per
-    purchase, and ``distinct`` only has to remove duplicates already present
-    in ``products``.
+    ``pairs`` are the distinct (customer_id, product_id) purchases (the same
+    plan that produced ``buyers``, so Spark reuses its shuffle output).
+    ``buyers`` is a top-k result and is broadcast without a check.  Semi
+    joins never multiply rows, so a buyer with a third of all orders yields
+    each product once.
     """
-    buyer_orders = semi_join_top(
-        orders.select(F.col(order_key).alias("_order"), F.col(order_customer).alias(buyer_id)),
-        buyers.select(buyer_id),
-        buyer_id,
-    ).select("_order")
-    product_ids = items.select(
-        F.col(item_order_key).alias("_order"), F.col(item_product).alias(product_id)
-    ).join(buyer_orders, "_order", "left_semi").select(product_id).distinct()
+    bought = semi_join_top(pairs, buyers.select("customer_id"), "customer_id").select(
+        F.col("product_id").alias(product_id)
+    ).distinct()
     cheap = products.where(F.col(price) < F.lit(price_below))
-    return cheap.join(product_ids, product_id, "left_semi").distinct()
+    return cheap.join(bought, product_id, "left_semi").distinct()

@@ -132,13 +132,10 @@ def price_rank_cheap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_rank(spark, sf_dir).where(F.col("product_price") < F.lit(CHEAP_SUPPLIER_BALANCE))
 
 
-def _customer_counts(t: Tables) -> DataFrame:
-    return agg.customer_product_counts(
-        t.customer,
+def _pairs(t: Tables) -> DataFrame:
+    return agg.customer_product_pairs(
         t.orders,
         t.lineitem,
-        customer_id="c_custkey",
-        customer_name="c_name",
         order_key="o_orderkey",
         order_customer="o_custkey",
         item_order_key="l_orderkey",
@@ -146,6 +143,12 @@ def _customer_counts(t: Tables) -> DataFrame:
     )
 
 
+def _customer_counts(t: Tables, pairs: DataFrame | None = None) -> DataFrame:
+    return agg.customer_product_counts(
+        _pairs(t) if pairs is None else pairs, t.customer, customer_id="c_custkey", customer_name="c_name"
+    )
+
+
 def customer_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customer_counts(Tables(spark, sf_dir)).orderBy(
         F.col("product_count").desc(), "customer_id"
@@ -158,18 +161,14 @@ def top10_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_products_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
+    pairs = _pairs(t)
     return agg.products_bought_by(
         t.part,
-        t.orders,
-        t.lineitem,
-        agg.top_customers(_customer_counts(t), TOP_K_CUSTOMERS),
+        pairs,
+        agg.top_customers(_customer_counts(t, pairs), TOP_K_CUSTOMERS),
         product_id="p_partkey",
         price="p_retailprice",
         price_below=PRICE_THRESHOLD,
-        order_key="o_orderkey",
-        order_customer="o_custkey",
-        item_order_key="l_orderkey",
-        item_product="l_partkey",
     )
 
 

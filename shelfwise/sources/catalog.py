@@ -8,11 +8,10 @@ latter with a reader plus ``insertInto``.)
 Scale notes
 -----------
 * Dynamic-partition writes: each task writes one file per partition value
-  it holds.  :func:`spread_for_partitioned_write` shuffles on (partition
-  value, row-hash salt) so a partition value holding a third of the rows is
-  written by ``files_per_partition`` tasks, not one; the salt is a hash of the
-  row, not ``rand()``, so a recomputed task after an executor loss sends every
-  row to the same place.
+  it holds.  :func:`spread_for_partitioned_write` adds a ``rebalance`` shuffle
+  on the partition columns, which AQE sizes at runtime: small partitions are
+  merged into fewer files and a partition value holding a third of the rows
+  is split over several writer tasks instead of landing in one.
 * ``INSERT OVERWRITE`` of a partitioned datasource table replaces *all*
   partitions unless ``partitionOverwriteMode=dynamic``; :func:`overwrite_partitions`
   sets it for the duration of the statement only.
@@ -81,13 +80,14 @@ def load_delimited(
     df.write.insertInto(table, overwrite=overwrite)
 
 
-def spread_for_partitioned_write(
-    df: DataFrame, partition_cols: list[str], files_per_partition: int = 8
-) -> DataFrame:
-    """Shuffle so each partition value is written by up to
-    ``files_per_partition`` tasks (bounded file count, no single hot task)."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+def spread_for_partitioned_write(df: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """Rebalance rows on the partition columns before a partitioned write.
+
+    The ``rebalance`` hint is an AQE shuffle: small output partitions are
+    coalesced (fewer, larger files) and a partition value holding a large
+    share of the rows is split over several tasks instead of one.
+    """
+    return df.hint("rebalance", *partition_cols)
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
