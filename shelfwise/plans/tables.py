@@ -24,6 +24,7 @@ LITERAL_ROWS_SQL = (
 )
 STATIC_PARTITION_VALUE = "21"
 BUCKETS = 4
+EXCHANGE_BUCKETS = 40
 LOOKUP_CUSTOMER = 899
 
 
@@ -190,6 +191,38 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ddl_temp_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab-delimited file with a header -> temporary view over it (no copy)
+    -> ``FROM view INSERT OVERWRITE TABLE`` into a table clustered by the
+    exchange into 40 buckets.  ``events`` stands in for the daily quotes:
+    exchange = event_type, symbol = user id, volume = event id."""
+    quotes = Tables(spark, sf_dir).events.select(
+        F.col("event_type").alias("exchang"),
+        F.col("user_id").cast("string").alias("symbo"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.col("value").alias("close"),
+        F.col("event_id").alias("volume"),
+    )
+    # The view reads text as strings; the varchar lengths are enforced when
+    # the rows are written into the bucketed table.
+    landing = scratch_path(spark, "landing-quotes")
+    write_as(quotes, landing, "csv", "none", sep="\t", header="true")
+    view = unique_name("tmp_quotes")
+    spark.sql(
+        f"CREATE TEMPORARY VIEW {view} (exchang string, symbo string, date string, "
+        f"close double, volume bigint) USING csv "
+        f"OPTIONS (path '{landing}', sep '\t', header 'true')"
+    )
+    name = unique_name("quotes_bucketed")
+    spark.sql(
+        f"CREATE TABLE {name} (exchang varchar(20), symbo varchar(10), date string, "
+        f"close double, volume bigint) USING parquet "
+        f"CLUSTERED BY (exchang) INTO {EXCHANGE_BUCKETS} BUCKETS"
+    )
+    spark.sql(f"FROM {view} INSERT OVERWRITE TABLE {name} SELECT *")
+    return spark.table(name)
+
+
 def lookup_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders
     path = scratch_path(spark, "orders-by-customer")
@@ -210,6 +243,7 @@ QUERIES = {
     "ddl_dynamic_partition": ddl_dynamic_partition,
     "ddl_static_partition": ddl_static_partition,
     "ddl_bucketed": ddl_bucketed,
+    "ddl_temp_view_bucketed": ddl_temp_view_bucketed,
     "lookup_layout": lookup_layout,
 }
 
@@ -247,5 +281,9 @@ ORACLE_SQL = {
         select o_orderstatus as order_status, count(*) as n_lines,
                count(distinct o_orderkey) as n_orders, round(sum(l_extendedprice), 2) as total_amount
         from orders join lineitem on o_orderkey = l_orderkey group by o_orderstatus""",
+    "ddl_temp_view_bucketed": """
+        select event_type as exchang, cast(user_id as varchar) as symbo,
+               strftime(ts, '%Y-%m-%d') as date, value as close, event_id as volume
+        from events""",
     "lookup_layout": f"select * from orders where o_custkey = {LOOKUP_CUSTOMER}",
 }
