@@ -92,6 +92,22 @@ def _sequence(key_first: bool, codec: str | None = None, new_api: bool = False):
     return run
 
 
+def split_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comma-separated text lines -> split -> columns typed by a declared
+    schema (``createDataFrame(rdd.map(split), schema)`` done in the JVM)."""
+    customer = Tables(spark, sf_dir).customer.select("c_custkey", "c_name", "c_acctbal")
+    path = scratch_path(spark, "customer-lines")
+    formats.write_as(formats.to_delimited_lines(customer, ","), path, "text")
+    declared = T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType()),
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_acctbal", T.DoubleType()),
+        ]
+    )
+    return formats.parse_delimited_lines(formats.read_as(spark, path, "text"), ",", declared)
+
+
 def sql_on_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SELECT * FROM parquet.`path``` without registering a table."""
     path = Tables(spark, sf_dir).path("part")
@@ -142,13 +158,15 @@ QUERIES = {
     "io_sequence_null": _sequence(False),
     "io_sequence_bzip2": _sequence(True, "bzip2"),
     "io_sequence_newapi": _sequence(True, new_api=True),
+    "split_typed_rows": split_typed_rows,
     "sql_on_files": sql_on_files,
     "save_modes": save_modes,
 }
 
 _PART = "select * from part"
 
-ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes")}
+ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes", "split_typed_rows")}
+ORACLE_SQL["split_typed_rows"] = "select c_custkey, c_name, c_acctbal from customer"
 ORACLE_SQL["io_csv_quoted"] = """
     select p_partkey, concat_ws('|', p_name, p_brand) as p_label,
            case when p_size > 25 then p_type end as p_type, p_retailprice
