@@ -91,7 +91,7 @@ ANALYTICS_SQL = {
     "filter_sort_desc": """
         select p_partkey, p_retailprice from part where p_retailprice > 950
         order by p_retailprice desc""",
-    "limit_rows": "select * from nation order by n_nationkey limit 10",
+    "limit_rows": "select * from orders order by o_orderkey limit 10",
     "month_key": """
         select strftime(o_orderdate, '%Y-%m') as order_month, count(*) as n_orders
         from orders group by 1""",
