@@ -15,14 +15,18 @@ from shelfwise.sources.formats import convert, data_source_available, write_as
 from shelfwise.sources.tables import Tables
 from shelfwise.streaming.incremental import read_target, run_available_now
 
-# Key ranges, separators and sentinels of the reference's
-# import commands, and the import parallelism (-m).
-BOUNDED_LOW, BOUNDED_HIGH, BOUNDED_SPLITS = 1, 1000, 3
+# Split points, separators and sentinels of the reference's
+# import commands.  The split points only divide the table between the two
+# imports of a merge or an incremental run; every key covers all rows.
 PART1_MAX, PART2_MIN = 1111, 1000
 LAST_VALUE = 1347
 STAR = "*"
 PIPE = "|"
 
+# Tables a full import copies: the stand-ins of the retail schema
+# (departments, categories, products, customers, orders, order items).
+IMPORT_ALL = ("region", "nation", "supplier", "part", "customer", "orders", "lineitem")
+
 
 def _import_format(spark) -> str:
     """Avro where the module is installed (as the reference imports), else
@@ -37,18 +41,23 @@ def ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = Tables(spark, sf_dir).part
-    return ingest.key_bounds(
-        part.where(F.col("p_partkey").between(BOUNDED_LOW, BOUNDED_HIGH)), "p_partkey"
-    )
+    """The boundary query over the whole table: min and max key."""
+    return ingest.key_bounds(Tables(spark, sf_dir).part, "p_partkey")
 
 
 def ingest_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys 1..1000 in 3 key-range splits, '|'-delimited text with sentinels
-    -1 and 'NOT-AVAILABLE', read back."""
+    """Import the key range reported by the boundary query, split into
+    key ranges, as '|'-delimited text with sentinels -1 and 'NOT-AVAILABLE';
+    read back.
+
+    Only the (min, max) row reaches the driver.  The number of splits (``-m``)
+    is the session's shuffle parallelism, which a cluster sizes to its data.
+    """
     part = Tables(spark, sf_dir).part
+    lower, upper = ingest.key_bounds(part, "p_partkey").first()
+    splits = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "import-part-bounded")
-    sliced = ingest.bounded_slice(part, "p_partkey", BOUNDED_LOW, BOUNDED_HIGH, BOUNDED_SPLITS)
+    sliced = ingest.bounded_slice(part, "p_partkey", lower, upper, splits)
     ingest.export_delimited(sliced, path, sep=PIPE, null_string="NOT-AVAILABLE", null_non_string=-1)
     return ingest.read_delimited(spark, path, part.schema, sep=PIPE)
 
@@ -78,7 +87,7 @@ def ingest_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     fmt = _import_format(spark)
     counts = None
-    for name in ("region", "nation", "supplier"):
+    for name in IMPORT_ALL:
         back = convert(t.load(name), scratch_path(spark, f"import-all-{name}"), fmt, "snappy")
         c = back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         counts = c if counts is None else counts.unionByName(c)
@@ -155,10 +164,11 @@ QUERIES = {
 
 ORACLE_SQL = {
     "ingest_table": "select * from part",
-    "ingest_bounds": """
-        select min(p_partkey) as min_key, max(p_partkey) as max_key
-        from part where p_partkey between 1 and 1000""",
-    "ingest_bounded": "select * from part where p_partkey between 1 and 1000",
+    "ingest_bounds": "select min(p_partkey) as min_key, max(p_partkey) as max_key from part",
+    "ingest_bounded": """
+        select * from part
+        where p_partkey between (select min(p_partkey) from part)
+                            and (select max(p_partkey) from part)""",
     "ingest_nulls": """
         select p_partkey, p_name,
                coalesce(case when p_size <= 40 then p_brand end, 'NA') as p_brand,
@@ -169,7 +179,11 @@ ORACLE_SQL = {
     "ingest_all_tables": """
         select 'region' as table_name, count(*) as n_rows from region
         union all select 'nation', count(*) from nation
-        union all select 'supplier', count(*) from supplier""",
+        union all select 'supplier', count(*) from supplier
+        union all select 'part', count(*) from part
+        union all select 'customer', count(*) from customer
+        union all select 'orders', count(*) from orders
+        union all select 'lineitem', count(*) from lineitem""",
     "ingest_merge": """
         select * from part where p_partkey <= 1000
         union all
