@@ -23,7 +23,7 @@ LITERAL_ROWS_SQL = (
     "(1381, 'something 1376', 'something 2', 'NOT APPLICABLE', NULL, 10.00)"
 )
 STATIC_PARTITION_VALUE = "21"
-BUCKETS = 4
+MIN_BUCKETS = 4
 EXCHANGE_BUCKETS = 40
 LOOKUP_CUSTOMER = 899
 
@@ -178,10 +178,13 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     with no exchange; then lines, orders and amount per status."""
     t = Tables(spark, sf_dir)
     o_name, l_name = unique_name("orders_bkt"), unique_name("lineitem_bkt")
-    catalog.save_bucketed(t.orders.select("o_orderkey", "o_orderstatus"), o_name, "o_orderkey", BUCKETS)
-    catalog.save_bucketed(
-        t.lineitem.select("l_orderkey", "l_extendedprice"), l_name, "l_orderkey", BUCKETS
-    )
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    items = t.lineitem.select("l_orderkey", "l_extendedprice")
+    # One bucket count for both sides (sized by the larger), so the join
+    # pairs bucket i with bucket i.
+    n = catalog.bucket_count(orders, items, minimum=MIN_BUCKETS)
+    catalog.save_bucketed(orders, o_name, "o_orderkey", n)
+    catalog.save_bucketed(items, l_name, "l_orderkey", n)
     o, li = spark.table(o_name), spark.table(l_name)
     joined = o.join(li, o.o_orderkey == li.l_orderkey)
     return joined.groupBy(F.col("o_orderstatus").alias("order_status")).agg(

@@ -17,6 +17,11 @@ Scale notes
   sets it for the duration of the statement only.
 * Bucketed tables hash-partition and sort on the bucket key once at write;
   joins and aggregations on that key then read the buckets without a shuffle.
+  A bucketed scan runs one task per bucket, so the bucket count must grow
+  with the table: :func:`bucket_count` gives one bucket per input split.
+  The write shuffles on the bucket key first, so each bucket is one file
+  written by one task (without it every writer task would write a file for
+  every bucket).
 """
 
 from __future__ import annotations
@@ -97,11 +102,36 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         df.write.insertInto(table, overwrite=True)
 
 
+def bucket_count(*dfs: DataFrame, minimum: int = 1) -> int:
+    """Buckets for tables that will be joined on their bucket key.
+
+    One bucket per input split of the largest input, so a bucket holds about
+    ``spark.sql.files.maxPartitionBytes`` of input and a bucketed scan runs as
+    many tasks as a plain scan of the same data.  Tables joined bucket to
+    bucket must share the count.  For scans (no shuffle in the plan) this
+    plans the file splits and runs no job.
+    """
+    return max(minimum, *(df.rdd.getNumPartitions() for df in dfs))
+
+
 def save_bucketed(
-    df: DataFrame, name: str, key: str, buckets: int, fmt: str = "parquet"
+    df: DataFrame, name: str, key: str, buckets: int | None = None, fmt: str = "parquet"
 ) -> str:
-    """``CLUSTERED BY (key) SORTED BY (key) INTO buckets BUCKETS``."""
-    df.write.format(fmt).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    """``CLUSTERED BY (key) SORTED BY (key) INTO buckets BUCKETS``.
+
+    ``repartition(buckets, key)`` uses the same hash as the bucketing, so
+    every writer task holds exactly one bucket and writes one file.  A bucket
+    key holding a third of all rows puts that third in one bucket; such a key
+    should not be a bucket key.
+    """
+    n = buckets or bucket_count(df)
+    (
+        df.repartition(n, key)
+        .write.format(fmt)
+        .bucketBy(n, key)
+        .sortBy(key)
+        .saveAsTable(name)
+    )
     return name
 
 

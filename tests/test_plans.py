@@ -46,6 +46,18 @@ def test_bucketed_join_has_no_exchange_below_join(spark):
     assert "Exchange" not in plan
 
 
+def test_bucketed_write_one_file_per_bucket(spark):
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
+    n = catalog.bucket_count(li, minimum=6)
+    assert n >= 6
+    catalog.save_bucketed(li, "l_one_file", "l_orderkey", n)
+    loc = spark.sql("DESCRIBE TABLE EXTENDED l_one_file").where("col_name = 'Location'").first()[1]
+    files = [f for f in glob.glob(loc.replace("file:", "") + "/part-*") if not f.endswith(".crc")]
+    bucket_ids = sorted(int(f.rsplit("_", 1)[1].split(".")[0]) for f in files)
+    assert bucket_ids == list(range(n))
+    assert spark.table("l_one_file").count() == li.count()
+
+
 def test_partition_pruning(spark):
     df = tables.ddl_dynamic_partition(spark, SF01)
     one = df.where(F.col("order_month") == "1999-12")
