@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.plans import analytics
-from shelfwise.session import scratch_path, unique_name
+from shelfwise.session import scratch_path, session_conf, unique_name
 from shelfwise.sources import catalog
 from shelfwise.sources.formats import write_as
 from shelfwise.sources.tables import Tables
@@ -156,6 +156,42 @@ def ddl_dynamic_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _bids_by_year(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("o_orderkey").alias("bid_id"),
+        F.col("o_custkey").alias("auction_id"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderstatus").alias("status"),
+        F.year("o_orderdate").cast("decimal(10,0)").alias("bid_year"),
+    )
+
+
+def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table partitioned by a ``decimal(10,0)`` column, filled by a
+    dynamic-partition ``INSERT INTO ... SELECT ..., key`` (partition column
+    last) and then rewritten by ``INSERT OVERWRITE`` of the same rows, which
+    replaces the partitions it writes: every row is held once.
+
+    Bids map to orders.  The partition value is the year of the bid, a
+    bounded domain; one directory per auction id would grow with the data.
+    The ``REBALANCE`` hint lets AQE size the writer tasks per partition
+    value, so a year holding a third of the rows is written by many tasks.
+    """
+    bids = _bids_by_year(Tables(spark, sf_dir).orders)
+    name = unique_name("bids_by_year")
+    catalog.create_table(spark, name, bids.schema, using="parquet", partitioned_by=["bid_year"])
+    view = unique_name("tmp_bids")
+    bids.createOrReplaceTempView(view)
+    select = (
+        "SELECT /*+ REBALANCE(bid_year) */ bid_id, auction_id, price, status, bid_year "
+        f"FROM {view}"
+    )
+    spark.sql(f"INSERT INTO {name} PARTITION (bid_year) {select}")
+    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (bid_year) {select}")
+    return spark.table(name)
+
+
 def ddl_static_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INSERT INTO t PARTITION (load_day='21') SELECT ..."""
     orders = Tables(spark, sf_dir).orders
@@ -244,6 +280,7 @@ QUERIES = {
     "ddl_alter": ddl_alter,
     "ddl_multi_insert": ddl_multi_insert,
     "ddl_dynamic_partition": ddl_dynamic_partition,
+    "ddl_decimal_partition": ddl_decimal_partition,
     "ddl_static_partition": ddl_static_partition,
     "ddl_bucketed": ddl_bucketed,
     "ddl_temp_view_bucketed": ddl_temp_view_bucketed,
@@ -277,6 +314,10 @@ ORACLE_SQL = {
         union all
         select * from (select * from m where order_month = (select min(order_month) from m)
                        order by order_id limit 1)""",
+    "ddl_decimal_partition": """
+        select o_orderkey as bid_id, o_custkey as auction_id, o_totalprice as price,
+               o_orderstatus as status, cast(year(o_orderdate) as decimal(10,0)) as bid_year
+        from orders""",
     "ddl_static_partition": f"""
         select o_orderkey, o_custkey, o_orderstatus, '{STATIC_PARTITION_VALUE}' as load_day
         from orders""",

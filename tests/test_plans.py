@@ -67,6 +67,17 @@ def test_partition_pruning(spark):
         F.date_format("o_orderdate", "yyyy-MM") == "1999-12").count()
 
 
+def test_decimal_partition_column(spark):
+    df = tables.ddl_decimal_partition(spark, SF01)
+    assert dict(df.dtypes)["bid_year"] == "decimal(10,0)"
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    assert df.count() == orders.count()  # the overwrite did not add a second copy
+    one = df.where(F.col("bid_year") == F.lit(1995).cast("decimal(10,0)"))
+    plan = one._jdf.queryExecution().sparkPlan().toString()
+    assert "PartitionFilters: [isnotnull(bid_year" in plan
+    assert one.count() == orders.where(F.year("o_orderdate") == 1995).count()
+
+
 def test_external_drop_keeps_managed_drop_removes(spark):
     supplier = spark.read.parquet(f"{SF01}/supplier.parquet")
     loc = scratch_path(spark, "ext")
