@@ -21,15 +21,21 @@ def key_bounds(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
-def bounded_slice(df: DataFrame, key: str, lower, upper, splits: int) -> DataFrame:
+def bounded_slice(
+    df: DataFrame, key: str, lower, upper, splits: int, spread_by: list[str] | None = None
+) -> DataFrame:
     """Rows with ``lower <= key <= upper`` in ``splits`` key-range partitions
     (``--where`` plus ``--split-by key -m splits``).
 
     The range filter is pushed into the source scan; the range partitioning
     samples the key so the splits are balanced even when keys cluster, unlike
-    equal-width strides.
+    equal-width strides.  A split key that is not unique can hold one value
+    in a large share of the rows; ``spread_by`` columns extend the range key
+    so such a value is divided over several splits.
     """
-    return df.where(F.col(key).between(lower, upper)).repartitionByRange(splits, key)
+    return df.where(F.col(key).between(lower, upper)).repartitionByRange(
+        splits, key, *(spread_by or [])
+    )
 
 
 def export_delimited(

@@ -266,7 +266,7 @@ def lookup_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders
     path = scratch_path(spark, "orders-by-customer")
     files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    catalog.write_lookup_layout(orders, path, "o_custkey", files)
+    catalog.write_lookup_layout(orders, path, "o_custkey", files, spread_by=["o_orderkey"])
     return spark.read.parquet(path).where(F.col("o_custkey") == F.lit(LOOKUP_CUSTOMER))
 
 

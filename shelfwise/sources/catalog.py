@@ -141,13 +141,21 @@ def write_lookup_layout(
     key: str,
     files: int,
     *,
+    spread_by: list[str] | None = None,
     bloom_filter: bool = True,
 ) -> str:
     """Point-lookup layout (replaces a Hive index): rows range partitioned and
     sorted on ``key``, so each file covers a narrow key range (row-group
     min/max stats skip the rest) plus a Parquet bloom filter on ``key``.
-    A lookup is then a plain ``filter(key == v)`` pushed into the scan."""
-    w = df.repartitionByRange(files, key).sortWithinPartitions(key).write
+    A lookup is then a plain ``filter(key == v)`` pushed into the scan.
+
+    ``spread_by`` adds columns to the range key after ``key``.  Range
+    partitioning never splits one key value, so without them a value holding
+    a third of the rows would be one partition written by one task; with them
+    that value spans several consecutive files and the layout stays sorted
+    on ``key``."""
+    order = [key, *(spread_by or [])]
+    w = df.repartitionByRange(files, *order).sortWithinPartitions(*order).write
     if bloom_filter:
         w = w.option(f"parquet.bloom.filter.enabled#{key}", "true")
     w.parquet(path)

@@ -30,6 +30,22 @@ def test_lookup_filter_pushed(spark):
     assert "EqualTo(o_custkey,899)" in plan
 
 
+def test_lookup_layout_spreads_hot_key(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    third = orders.agg(F.max("o_orderkey")).first()[0] // 3
+    hot = orders.withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") <= third, F.lit(899)).otherwise(F.col("o_custkey"))
+    )
+    path = scratch_path(spark, "hot-lookup")
+    catalog.write_lookup_layout(hot, path, "o_custkey", 8, spread_by=["o_orderkey"])
+    per_file = (
+        spark.read.parquet(path).where(F.col("o_custkey") == 899)
+        .groupBy(F.input_file_name().alias("f")).count().collect()
+    )
+    assert len(per_file) >= 3  # the hot key is written by several tasks
+    assert sum(r["count"] for r in per_file) == hot.where(F.col("o_custkey") == 899).count()
+
+
 def test_bucketed_join_has_no_exchange_below_join(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderstatus")
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
