@@ -22,13 +22,17 @@ def _c(c) -> Column:
 
 
 def epoch_ms_to_date(ms) -> Column:
-    """``to_date(from_unixtime(ms / 1000))``: epoch milliseconds -> date."""
-    return F.to_date(F.from_unixtime((_c(ms) / F.lit(1000)).cast("bigint")))
+    """``to_date(from_unixtime(ms / 1000))``: epoch milliseconds -> date.
+
+    ``timestamp_millis`` keeps the exact instant; casting ``ms / 1000`` to an
+    integer would truncate toward zero and move instants just before 1970
+    onto the next second (and date)."""
+    return F.to_date(F.timestamp_millis(_c(ms)))
 
 
 def epoch_ms_to_month(ms) -> Column:
     """``substr(from_unixtime(ms / 1000), 1, 7)``: epoch ms -> 'yyyy-MM'."""
-    return F.substring(F.from_unixtime((_c(ms) / F.lit(1000)).cast("bigint")), 1, 7)
+    return F.date_format(F.timestamp_millis(_c(ms)), MONTH_PATTERN)
 
 
 def timestamp_to_epoch_ms(ts) -> Column:

@@ -63,6 +63,14 @@ def test_epoch_ms(spark):
     assert r.d == dt.date(2013, 7, 25) and r.m == "2013-07"
 
 
+def test_epoch_ms_before_1970(spark):
+    df = spark.createDataFrame([(-1,), (-86_400_000,), (-2_678_400_001,)], "ms long")
+    with session_time_zone(spark, "UTC"):
+        got = df.select(dates.epoch_ms_to_date("ms").alias("d"), dates.epoch_ms_to_month("ms").alias("m")).collect()
+    assert [r.d for r in got] == [dt.date(1969, 12, 31), dt.date(1969, 12, 31), dt.date(1969, 11, 30)]
+    assert [r.m for r in got] == ["1969-12", "1969-12", "1969-11"]
+
+
 def test_overlapping_snapshots_newest_wins(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, "C"), (4, "D")], "k int, v string")
