@@ -167,9 +167,11 @@ def _bids_by_year(orders: DataFrame) -> DataFrame:
 
 
 def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table partitioned by a ``decimal(10,0)`` column, filled by a
-    dynamic-partition ``INSERT INTO ... SELECT ..., key`` (partition column
-    last) and then rewritten by ``INSERT OVERWRITE`` of the same rows, which
+    """Bids land as a comma-delimited file and are read through a temporary
+    table (``CREATE TEMPORARY VIEW ... USING csv``, declared column types,
+    no copy).  A table partitioned by a ``decimal(10,0)`` column is filled by
+    a dynamic-partition ``INSERT INTO ... SELECT ..., key`` (partition column
+    last) and rewritten by ``INSERT OVERWRITE`` of the same rows, which
     replaces the partitions it writes: every row is held once.
 
     Bids map to orders.  The partition value is the year of the bid, a
@@ -178,10 +180,15 @@ def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     value, so a year holding a third of the rows is written by many tasks.
     """
     bids = _bids_by_year(Tables(spark, sf_dir).orders)
+    landing = scratch_path(spark, "landing-bids")
+    write_as(bids, landing, "csv", "none", sep=",")
+    view = unique_name("temp_bids")
+    spark.sql(
+        f"CREATE TEMPORARY VIEW {view} ({catalog.ddl_columns(bids.schema)}) "
+        f"USING csv OPTIONS (path '{landing}', sep ',')"
+    )
     name = unique_name("bids_by_year")
     catalog.create_table(spark, name, bids.schema, using="parquet", partitioned_by=["bid_year"])
-    view = unique_name("tmp_bids")
-    bids.createOrReplaceTempView(view)
     select = (
         "SELECT /*+ REBALANCE(bid_year) */ bid_id, auction_id, price, status, bid_year "
         f"FROM {view}"
