@@ -37,11 +37,13 @@ def _round_trip(fmt: str, codec: str | None, **options):
 
 
 def json_strings_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows -> JSON strings (``toJSON``) -> gzip text files -> JSON reader."""
+    """Rows -> JSON strings (``toJSON``) -> gzip text files -> JSON reader
+    with an inferred schema (integers come back as bigint, columns sorted by
+    name), cast back to the source types by column name."""
     src = _part(spark, sf_dir)
     path = scratch_path(spark, "part-json-strings-gzip")
     formats.write_as(formats.to_json_lines(src), path, "text", "gzip")
-    return formats.read_as(spark, path, "json", src.schema)
+    return formats.cast_to_schema(formats.read_as(spark, path, "json"), src.schema)
 
 
 def _text_lines(codec: str):
