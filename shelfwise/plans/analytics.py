@@ -143,9 +143,9 @@ def _pairs(t: Tables) -> DataFrame:
     )
 
 
-def _customer_counts(t: Tables, pairs: DataFrame | None = None) -> DataFrame:
+def _customer_counts(t: Tables) -> DataFrame:
     return agg.customer_product_counts(
-        _pairs(t) if pairs is None else pairs, t.customer, customer_id="c_custkey", customer_name="c_name"
+        _pairs(t), t.customer, customer_id="c_custkey", customer_name="c_name"
     )
 
 
@@ -161,11 +161,15 @@ def top10_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_products_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    pairs = _pairs(t)
     return agg.products_bought_by(
         t.part,
-        pairs,
-        agg.top_customers(_customer_counts(t, pairs), TOP_K_CUSTOMERS),
+        t.orders,
+        t.lineitem,
+        agg.top_customers(_customer_counts(t), TOP_K_CUSTOMERS),
+        order_key="o_orderkey",
+        order_customer="o_custkey",
+        item_order_key="l_orderkey",
+        item_product="l_partkey",
         product_id="p_partkey",
         price="p_retailprice",
         price_below=PRICE_THRESHOLD,
