@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.plans import analytics, tables
 from shelfwise.session import scratch_path
-from shelfwise.sources import catalog, formats
+from shelfwise.sources import catalog, formats, sequence
 
 from conftest import SF01
 
@@ -124,6 +124,24 @@ def test_codecs_used(spark):
         assert files and all(f.endswith(suffix) for f in files), (fmt, codec, files)
 
 
+def test_text_and_sequence_codecs_used(spark):
+    part = spark.read.parquet(f"{SF01}/part.parquet")
+    for codec, suffix in [("gzip", ".txt.gz"), ("bzip2", ".txt.bz2")]:
+        path = scratch_path(spark, f"codec-text-{codec}")
+        formats.write_as(formats.to_delimited_lines(part, "\t"), path, "text", codec)
+        files = [f for f in glob.glob(f"{path}/part-*") if not f.endswith(".crc")]
+        assert files and all(f.endswith(suffix) for f in files), (codec, files)
+    # SequenceFile names carry no codec suffix: the codec class is in the header.
+    path = scratch_path(spark, "codec-seq-bzip2")
+    sequence.write_sequence(part, path, codec="bzip2")
+    files = [f for f in glob.glob(f"{path}/part-*") if not f.endswith(".crc")]
+    assert files
+    for f in files:
+        with open(f, "rb") as fh:
+            head = fh.read(512)
+        assert head.startswith(b"SEQ") and b"org.apache.hadoop.io.compress.BZip2Codec" in head
+
+
 def test_dataframe_and_sql_forms_agree(spark):
     """The reference solves the flagship in DataFrame and SQL form; both must
     give the same rows."""
