@@ -1,0 +1,29 @@
+"""JDBC option building (no database is started: reads need one)."""
+
+import pytest
+
+from shelfwise.sources import jdbc
+
+
+def test_table_or_query_exactly_one():
+    with pytest.raises(ValueError):
+        jdbc.jdbc_options("jdbc:x://h/db")
+    with pytest.raises(ValueError):
+        jdbc.jdbc_options("jdbc:x://h/db", table="t", query="select 1")
+    opts = jdbc.jdbc_options("jdbc:x://h/db", table="products", user="u", password="p")
+    assert opts["dbtable"] == "products" and opts["user"] == "u" and "query" not in opts
+    assert "driver" not in opts
+
+
+def test_partition_options():
+    opts = jdbc.partition_options("product_id", 1, 1000, 3)
+    assert opts == {
+        "partitionColumn": "product_id",
+        "lowerBound": "1",
+        "upperBound": "1000",
+        "numPartitions": "3",
+    }
+    with pytest.raises(ValueError):
+        jdbc.partition_options("product_id", 10, 1, 3)
+    with pytest.raises(ValueError):
+        jdbc.partition_options("product_id", 1, 10, 0)
