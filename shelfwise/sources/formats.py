@@ -112,10 +112,10 @@ def to_delimited_lines(df: DataFrame, sep: str) -> DataFrame:
 def parse_delimited_lines(lines: DataFrame, sep: str, schema: T.StructType, col: str = "value") -> DataFrame:
     """Split ``sep``-delimited lines into the typed columns of ``schema``."""
     parts = F.split(F.col(col), re.escape(sep), -1)
-    return lines.select(*[_field(parts.getItem(i), f) for i, f in enumerate(schema.fields)])
+    return lines.select(*[typed_field(parts.getItem(i), f) for i, f in enumerate(schema.fields)])
 
 
-def _field(text, field: T.StructField):
+def typed_field(text, field: T.StructField):
     return F.when(text == F.lit(NULL_MARK), F.lit(None)).otherwise(text).cast(field.dataType).alias(field.name)
 
 

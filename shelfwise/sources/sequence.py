@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.sources.formats import _field, delimited_value, parse_delimited_lines
+from shelfwise.sources.formats import typed_field, delimited_value, parse_delimited_lines
 
 # Hadoop class names used at the SequenceFile boundary.
 TEXT = "org.apache.hadoop.io.Text"
@@ -88,5 +88,5 @@ def sequence_to_table(kv: DataFrame, schema: T.StructType, *, key_first: bool =
     split = F.split(F.col("value"), re.escape(sep), -1)
     return kv.select(
         F.col("key").cast(first.dataType).alias(first.name),
-        *[_field(split.getItem(i), f) for i, f in enumerate(rest.fields)],
+        *[typed_field(split.getItem(i), f) for i, f in enumerate(rest.fields)],
     )
