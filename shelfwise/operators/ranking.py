@@ -13,7 +13,12 @@ large share of all products, so one task would sort a fifth of the table.
    collapses a hot value before the shuffle.
 2. ``hist`` is range partitioned on (group, v) into ``buckets`` balanced
    ranges (Spark samples the keys); the partition id becomes a bucket number,
-   so a large group is spread over many buckets in order.
+   so a large group is spread over many buckets in order.  The bucketed
+   histogram is written once to the shared scratch folder and read by both
+   steps below: range bounds come from a sample whose rows arrive in shuffle
+   fetch order, so two evaluations of the exchange could draw different
+   bounds and disagree on bucket numbers.  The written table also cuts the
+   lineage, so a lost executor does not recompute the histogram.
 3. Inside each (bucket, group) a window computes the counts before each
    value.  A bucket holds one balanced range, so no window partition is
    larger than a range partition.
@@ -38,6 +43,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import scratch_path
+
 
 # Rows one task may sort for a single window partition.
 MAX_WINDOW_ROWS = 4_000_000
@@ -88,9 +95,11 @@ def rank_within(
 
     hist = df.groupBy(*g, v).agg(F.count(F.lit(1)).alias("_cnt"))
 
-    ranged = hist.repartitionByRange(
+    bucketed_path = scratch_path(spark, "rank-buckets")
+    hist.repartitionByRange(
         n_buckets, *[F.col(c).asc_nulls_first() for c in g], _sort_key(v, ascending)
-    ).withColumn("_bucket", F.spark_partition_id())
+    ).withColumn("_bucket", F.spark_partition_id()).write.parquet(bucketed_path)
+    ranged = spark.read.parquet(bucketed_path)
 
     w_local = Window.partitionBy("_bucket", *g).orderBy(_sort_key(v, ascending))
     local = ranged.withColumn(

@@ -30,7 +30,8 @@ def test_auto_switches_on_group_size(spark):
     small = rank_within(df, ["d"], "v", max_window_rows=1000)
     big = rank_within(df, ["d"], "v", max_window_rows=100, buckets=4)
     assert "Window" in small._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" in big._jdf.queryExecution().optimizedPlan().toString()
+    # The distributed path reads the bucketed histogram it wrote once.
+    assert "_bucket" in big._jdf.queryExecution().optimizedPlan().toString()
     _same(small, big)
 
 
@@ -69,3 +70,12 @@ def test_property_matches_window(spark, rows, buckets):
     data = [(g, i, v) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g int, id int, v int")
     _same(rank_within(df, ["g"], "v", buckets=buckets, strategy="distributed"), _by_window(df, ["g"], "v"))
+
+
+def test_sampled_range_bounds_match_window(spark):
+    # 200k distinct (group, value) pairs: far more than the range partitioner's
+    # sample, so the bucket bounds come from sampling.
+    df = spark.range(0, 200_000, numPartitions=16).selectExpr(
+        "cast(id % 3 as int) as g", "id", "cast((id * 7919) % 200003 as double) as v"
+    )
+    _same(rank_within(df, ["g"], "v", buckets=16, strategy="distributed"), _by_window(df, ["g"], "v"))
