@@ -79,3 +79,19 @@ def test_sampled_range_bounds_match_window(spark):
         "cast(id % 3 as int) as g", "id", "cast((id * 7919) % 200003 as double) as v"
     )
     _same(rank_within(df, ["g"], "v", buckets=16, strategy="distributed"), _by_window(df, ["g"], "v"))
+
+
+def test_filter_above_distributed_rank_keeps_ranks(spark):
+    # W3: ranks are computed before the price filter, on both strategies.
+    from pyspark.sql import functions as F
+
+    from shelfwise.plans import analytics
+    from shelfwise.sources.tables import Tables
+
+    from conftest import SF01
+
+    base = analytics._dept_products(Tables(spark, SF01))
+    cheap = F.col("product_price") < 5000
+    d = rank_within(base, ["department_id"], "product_price", strategy="distributed", buckets=3).where(cheap)
+    w = _by_window(base, ["department_id"], "product_price").where(cheap)
+    _same(d, w)
