@@ -18,6 +18,7 @@ Scale notes
 from __future__ import annotations
 
 import contextlib
+import math
 import tempfile
 import uuid
 
@@ -54,6 +55,36 @@ def build_session(
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_settings(
+    input_bytes: int,
+    *,
+    shuffle_partition_bytes: int = 128 * MB,
+    split_bytes: int = 256 * MB,
+    minimum_partitions: int = 8,
+) -> dict[str, str]:
+    """Settings sized to the data a job reads (pass to ``build_session(extra=)``).
+
+    The largest shuffle of these pipelines is at most about the bytes read
+    (a join of the two largest tables before any aggregate), so the static
+    partition count is ``input_bytes / shuffle_partition_bytes``: every
+    reducer then holds about one advisory partition and nothing spills when
+    AQE leaves a stage as it is.  AQE still merges partitions of the smaller
+    stages toward the same size and splits skewed join partitions.  Scan
+    splits of ``split_bytes`` keep the number of map tasks (and of files a
+    write produces) proportional to the input.
+    """
+    partitions = max(minimum_partitions, math.ceil(input_bytes / shuffle_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * shuffle_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }
+
+
 def _shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -100,3 +100,13 @@ def test_split_fields(spark):
     assert [tuple(r) for r in got] == [("NATION_1", 1), ("x.y", 2)]
     first = df.select(*cleaning.split_first("line", "|")).collect()
     assert first[0].key == "NATION_1" and first[0].value == "1"
+
+
+def test_scale_settings_grow_with_input():
+    from shelfwise.session import MB, scale_settings
+
+    small = scale_settings(10 * MB)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    big = scale_settings(100 * 1024**4)  # 100 TiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (128 * MB)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * MB)
