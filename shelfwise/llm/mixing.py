@@ -38,10 +38,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import partitions_for, written
+from shelfwise.llm.common import in_order, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = 2000
@@ -51,19 +51,6 @@ KEY = ["doc_id", "source", "size", "text_hash"]
 _UNITS = "doc_id {id}, source string, size long, text_hash long, times long, whole long, extra long, part long, p double, node long, leaf long"
 
 
-def in_order(df: DataFrame, *order) -> DataFrame:
-    """``df`` with ``place``: its row number from 0 in the given order, without a single-task sort."""
-    spark = df.sparkSession
-    ranged = df.repartitionByRange(partitions_for(spark), *order).sortWithinPartitions(*order)
-    ranged = written(ranged.withColumn("_row", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftrightunsigned("_row", 33).alias("_part")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))  # one row per range partition
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    joined = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return joined.withColumn("place", F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_row", "_part", "_offset")
-
-
 def targets(sizes: DataFrame, *, weights=WEIGHTS, share: float = 1.0, most: float = 3.0) -> DataFrame:
     """From (source, source_size): source, source_size, target (double)."""
     listed = in_order(sizes, F.col("source").asc_nulls_last())

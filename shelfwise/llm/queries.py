@@ -7,13 +7,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import decontaminate, mixing, shards, token_counts
+from shelfwise.llm import decontaminate, extract, jaccard, language, mixing, neighbours, quality, rans, shards, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_identification(_table(spark, sf_dir, "documents"))
+
+
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.held_out_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -22,6 +38,14 @@ def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_range_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rans.encoded_digest(_table(spark, sf_dir, "documents"))
+
+
+def op8_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(_table(spark, sf_dir, "documents"))
 
@@ -31,7 +55,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op6_pivotal_mixing, op9_ring_shards, op10_decontaminate)
+    f.__name__: f
+    for f in (
+        op1_page_differencing,
+        op2_collision_counting,
+        op3_context_trees,
+        op4_factorisation_machine,
+        op5_token_counts,
+        op6_pivotal_mixing,
+        op7_range_coding,
+        op8_vertical_join,
+        op9_ring_shards,
+        op10_decontaminate,
+    )
 }
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
