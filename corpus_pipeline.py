@@ -1,16 +1,30 @@
-"""The corpus pipeline: stages over the documents table, each written as
-Parquet and read back as the next stage's documents."""
+"""The corpus pipeline: five stages over the documents table.
+
+Each stage gets the documents its predecessor kept, works on all of them, and
+is written as Parquet and read back as the next one's documents.  All but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import decontaminate, mixing
+from shelfwise.llm import decontaminate, jaccard, language, mixing, rans
 from shelfwise.llm.common import written
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: texts without a letter, or in no language with a probability of a half, go."""
+    return language.keep_identified(docs, language.fit(docs))
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: of documents linked by their shingles the one with the smallest id stays."""
+    return jaccard.keep_one(docs)
+
+
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents that hold a benchmark window go."""
+    """Operator 10: documents that hold a window of a benchmark item go."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
@@ -19,12 +33,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: token ids written in the binary format; the digest read back from the files."""
+    return rans.encoded_digest(docs)
+
+
 STAGES = [
+    ("language identification", identify_language),
+    ("n-gram Jaccard join", join_near_copies),
     ("benchmark decontamination", drop_benchmark_leaks),
     ("mixing sources", mix_sources),
+    ("token ids in binary", encode_tokens),
 ]
 
-ORACLE_SQL = None  # random rounding and entropy coding are not SQL
+ORACLE_SQL = None  # fitted models, random rounding and entropy coding are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
