@@ -47,6 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.llm.common import Slice, byte_table, mix64, partitions_for, text_slices, window_hashes, words_of, written
 from shelfwise.session import unique_name
@@ -146,8 +147,9 @@ def numbered(docs: DataFrame, *, text: str = "text", keep: list[str] | None = No
     keep = docs.columns if keep is None else keep
     kept = [docs.columns.index(c) for c in keep]
     at = docs.columns.index(text)
-    fields = ", ".join(f"`{docs.columns[k]}` {docs.schema.fields[k].dataType.simpleString()}" for k in kept)
-    return docs.mapInArrow(lambda rows: _number(rows, at, kept), f"{fields}, _set long, _size long")
+    fields = [docs.schema.fields[k] for k in kept]
+    schema = T.StructType([*fields, T.StructField("_set", T.LongType()), T.StructField("_size", T.LongType())])
+    return docs.mapInArrow(lambda rows: _number(rows, at, kept), schema)
 
 
 def _segments(batches, percent: int):

@@ -150,13 +150,14 @@ def _score(batches, model, text_at: int, drop: bool):
         yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), rows], [*(batch.schema.names[k] for k in keep), "_bits"])
 
 
-def identify(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the probability of that
-    language if each text's code lengths are read as likelihoods."""
+def identify(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bool = True, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its probability if each text's
+    code lengths are read as likelihoods, in columns of the given ``names``."""
+    pred, chance = names
     spark = docs.sparkSession
     if not model.languages:
         out = docs if keep_text else docs.drop(text)
-        return out.withColumn("lang_pred", F.lit(NONE)).withColumn("score", F.lit(0.0))
+        return out.withColumn(pred, F.lit(NONE)).withColumn(chance, F.lit(0.0))
     body = docs[text].cast("string")
     scored = docs.withColumn("_letters", F.coalesce(body.rlike(r"\p{L}"), F.lit(False)))
     at = scored.columns.index(text)
@@ -174,8 +175,8 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bo
     weight = F.aggregate("_bits", F.lit(0.0), lambda total, b: total + F.pow(F.lit(2.0), F.greatest(least - b, F.lit(-1000.0))))
     named = F.element_at(F.array(*[F.lit(x) for x in model.languages]), F.array_position("_bits", least).cast("int"))
     return (
-        scored.withColumn("lang_pred", F.when(F.col("_letters"), named).otherwise(NONE))
-        .withColumn("score", F.when(F.col("_letters"), 1.0 / weight).otherwise(0.0))
+        scored.withColumn(pred, F.when(F.col("_letters"), named).otherwise(NONE))
+        .withColumn(chance, F.when(F.col("_letters"), 1.0 / weight).otherwise(0.0))
         .drop("_bits", "_letters")
     )
 
@@ -190,5 +191,5 @@ def held_out_identification(docs: DataFrame, *, doc_id: str = "doc_id", text: st
 
 def keep_identified(docs: DataFrame, model: Model, *, text: str = "text", least: float = 0.5) -> DataFrame:
     """Documents with a language of at least that probability, columns unchanged."""
-    judged = identify(docs, model, text=text)
-    return judged.where((F.col("lang_pred") != NONE) & (F.col("score") >= least)).select(*[judged[c] for c in docs.columns])
+    judged = identify(docs, model, text=text, names=("_lang_pred", "_lang_score"))
+    return judged.where((F.col("_lang_pred") != NONE) & (F.col("_lang_score") >= least)).select(*[judged[c] for c in docs.columns])
