@@ -7,6 +7,8 @@ becomes null instead of failing the job.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,26 +64,7 @@ def fill_null_sentinels(
     return df.select(*cols)
 
 
-def split_fields(line, sep: str, names: list[str], types: list[str] | None = None) -> list[Column]:
-    """Split a delimited line into named (optionally typed) columns.
-
-    ``sep`` is taken literally (regex metacharacters are escaped).
-    """
-    import re
-
-    parts = F.split(_c(line), re.escape(sep))
-    out = []
-    for i, name in enumerate(names):
-        col = parts.getItem(i)
-        if types and types[i] != "string":
-            col = col.try_cast(types[i])
-        out.append(col.alias(name))
-    return out
-
-
 def split_first(line, sep: str, names: tuple[str, str] = ("key", "value")) -> list[Column]:
-    """``line.split(sep, 1)``: key before the first separator, rest after."""
-    import re
-
+    """``line.split(sep, 1)``: key before the first separator, rest after (null if there is none)."""
     parts = F.split(_c(line), re.escape(sep), 2)
-    return [parts.getItem(0).alias(names[0]), parts.getItem(1).alias(names[1])]
+    return [F.get(parts, F.lit(0)).alias(names[0]), F.get(parts, F.lit(1)).alias(names[1])]

@@ -57,9 +57,9 @@ def parse_to_epoch_s(text, pattern: str = DAY_PATTERN) -> Column:
 
 
 def parse_date(text, pattern: str = DAY_PATTERN) -> Column:
-    """``to_date(cast(unix_timestamp(s, pattern) as timestamp))``; bad text ->
-    null."""
-    return F.to_date(F.timestamp_seconds(parse_to_epoch_s(text, pattern)))
+    """``to_date(cast(unix_timestamp(s, pattern) as timestamp))`` in one
+    conversion; bad text -> null."""
+    return F.try_to_timestamp(_c(text), F.lit(pattern)).cast("date")
 
 
 def date_part_of(text) -> Column:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.joins import DEFAULT_BROADCAST_ROWS, join_bounded, semi_join_top
+from shelfwise.operators.joins import semi_join_top
 
 
 def _col(c) -> Column:
@@ -263,35 +263,20 @@ def products_bought_by(
     product_id: str,
     price: str,
     price_below: float,
-    max_buyers: int = 1000,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``select distinct p.* from products p join items join orders join
     buyers where price < price_below``.
 
-    ``buyers`` is a top-k result.  Its distinct customer ids (at most
-    ``max_buyers``, checked) are fetched once and become an ``IN`` filter
-    that reaches the orders scan, so only the buyers' orders are read.  Those
-    orders are broadcast after a row-count check (:func:`join_bounded`) and
-    the items are semi-joined to them while they are scanned: the item table
-    is not shuffled here at all.  Beyond the bound -- a buyer holding a third
-    of all orders -- the planner's shuffle join (with AQE) is used instead.
-    More buyers than ``max_buyers`` are joined as a DataFrame, never
-    collected.  Semi joins never multiply rows, and the product ids are made
-    distinct before the last semi join.
+    One lazy plan.  ``buyers`` is a top-k result, so its few ids are broadcast
+    and the semi join keeps only the buyers' orders while orders are scanned.
+    The lines are semi-joined to those orders; whether they are broadcast is
+    Spark's decision from their measured size, and a buyer holding a third of
+    all orders gets the shuffle join.  Semi joins never multiply rows, and the
+    product ids are made distinct before the last one.
     """
-    wanted = buyers.select(F.col("customer_id").alias("_buyer")).distinct()
-    few = wanted.limit(max_buyers + 1).collect()
-    if len(few) <= max_buyers:
-        their_orders = orders.where(F.col(order_customer).isin([r[0] for r in few]))
-    else:
-        their_orders = orders.join(wanted, F.col(order_customer) == F.col("_buyer"), "left_semi")
-    lines = items.select(F.col(item_order_key).alias("_order"), F.col(item_product).alias(product_id))
-    bought = (
-        join_bounded(lines, their_orders.select(F.col(order_key).alias("_order")), "_order",
-                     "left_semi", max_broadcast_rows)
-        .select(product_id)
-        .distinct()
-    )
+    wanted = buyers.select(F.col("customer_id").alias(order_customer))
+    their_orders = semi_join_top(orders.select(order_key, order_customer), wanted, order_customer)
+    lines = items.select(F.col(item_order_key).alias(order_key), F.col(item_product).alias(product_id))
+    bought = lines.join(their_orders, order_key, "left_semi").select(product_id).distinct()
     cheap = products.where(F.col(price) < F.lit(price_below))
     return cheap.join(bought, product_id, "left_semi").distinct()

@@ -21,21 +21,13 @@ def key_bounds(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
-def bounded_slice(
-    df: DataFrame, key: str, lower, upper, splits: int, spread_by: list[str] | None = None
-) -> DataFrame:
-    """Rows with ``lower <= key <= upper`` in ``splits`` key-range partitions
-    (``--where`` plus ``--split-by key -m splits``).
-
-    The range filter is pushed into the source scan; the range partitioning
-    samples the key so the splits are balanced even when keys cluster, unlike
-    equal-width strides.  A split key that is not unique can hold one value
-    in a large share of the rows; ``spread_by`` columns extend the range key
-    so such a value is divided over several splits.
+def bounded_slice(df: DataFrame, key: str, lower, upper) -> DataFrame:
+    """Rows with ``lower <= key <= upper`` (``--where``).
+
+    The filter is pushed into the source scan, whose own splits are the
+    parallel import tasks (``-m``): nothing is shuffled.
     """
-    return df.where(F.col(key).between(lower, upper)).repartitionByRange(
-        splits, key, *(spread_by or [])
-    )
+    return df.where(F.col(key).between(lower, upper))
 
 
 def export_delimited(
@@ -51,14 +43,14 @@ def export_delimited(
     """Write rows as ``sep``-delimited text with null sentinels
     (``--fields-terminated-by``, ``--null-string``, ``--null-non-string``)."""
     filled = fill_null_sentinels(df, null_string, null_non_string)
-    write_as(to_delimited_lines(filled, sep), path, "text", compression, lineSep=line_sep)
+    write_as(to_delimited_lines(filled, sep, line_sep), path, "text", compression, lineSep=line_sep)
     return path
 
 
 def read_delimited(spark, path: str, schema, *, sep: str, line_sep: str = "\n") -> DataFrame:
     """Parse text written by :func:`export_delimited` into ``schema``."""
     lines = spark.read.option("lineSep", line_sep).text(path)
-    return parse_delimited_lines(lines, sep, schema)
+    return parse_delimited_lines(lines, sep, schema, line_sep=line_sep)
 
 
 def merge_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -67,9 +59,10 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
     A left-anti join never multiplies rows, so a key repeated many times on
     either side costs no pair explosion (a full outer join would emit every
-    old x new pair of that key).
+    old x new pair of that key).  The keys of ``new`` are made distinct first
+    (a partial aggregate), so a repeated key is one row of the right side.
     """
-    kept = old.join(new.select(key), key, "left_anti")
+    kept = old.join(new.select(key).distinct(), key, "left_anti")
     return kept.unionByName(new)
 
 

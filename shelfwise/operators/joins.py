@@ -1,47 +1,15 @@
 """Join helpers with explicit size discipline.
 
 Spark already chooses broadcast joins from plan statistics and, with AQE,
-from measured shuffle sizes.  The helpers here are for the cases where the
-caller knows more than the statistics: a side that is bounded by
-construction (a top-k result) or one whose size must be *checked* before it
-is sent to every executor.
+from measured shuffle sizes.  The helper here is for the case where the caller
+knows more than the statistics: a side that is bounded by construction.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may hold and still be broadcast by ``join_bounded``.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True if ``df`` has at most ``limit`` rows.
-
-    Runs ``df.limit(limit + 1).count()``: the scan stops after ``limit + 1``
-    rows, so the check costs O(limit) however large ``df`` is.
-    """
-    return df.limit(limit + 1).count() <= limit
-
-
-def join_bounded(
-    big: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join, broadcasting ``small`` only if a row count proves it is small.
-
-    Beyond ``max_rows`` the join is left to the planner (shuffle join, with
-    AQE free to re-plan at runtime).
-    """
-    if rows_at_most(small, max_rows):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
-
 def semi_join_top(big: DataFrame, top: DataFrame, on, how: str = "left_semi") -> DataFrame:
     """Semi/anti join against a result bounded by construction (``limit k``).
 
@@ -49,12 +17,3 @@ def semi_join_top(big: DataFrame, top: DataFrame, on, how: str = "left_semi") ->
     caps its size, so broadcasting it needs no check.
     """
     return big.join(F.broadcast(top), on, how)
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """``left.k <=> right.k`` for every key (nulls match nulls)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond

@@ -30,12 +30,8 @@ large share of all products, so one task would sort a fifth of the table.
    key with a single row on the other side; AQE's skew-join handling splits
    it.
 
-``strategy="auto"`` (the default) first measures the largest group with one
-aggregate over the group columns (a partial aggregate; only the maximum
-reaches the driver).  Groups no larger than ``max_window_rows`` are ranked by
-Spark's window operator -- one sort per group fits a task comfortably and
-costs fewer stages; beyond that bound the distributed plan above is used.
-``strategy="window"`` / ``"distributed"`` force one plan.
+The input is evaluated twice, for the histogram and for the rows the ranks are
+joined to, whatever the size of the groups.
 """
 
 from __future__ import annotations
@@ -46,16 +42,6 @@ from pyspark.sql import functions as F
 from shelfwise.session import scratch_path
 
 
-# Rows one task may sort for a single window partition.
-MAX_WINDOW_ROWS = 4_000_000
-
-
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (0 for an empty input)."""
-    biggest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
-    return int(biggest or 0)
-
-
 def _sort_key(c: str, ascending: bool) -> Column:
     # Spark's defaults: ascending sorts nulls first, descending nulls last.
     return F.col(c).asc_nulls_first() if ascending else F.col(c).desc_nulls_last()
@@ -70,24 +56,12 @@ def rank_within(
     rank_col: str = "rank",
     dense_rank_col: str = "dense_rank",
     buckets: int | None = None,
-    strategy: str = "auto",
-    max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``rank_col`` and ``dense_rank_col`` (bigint) to ``df``.
 
     Same values as ``rank()``/``dense_rank()`` over
     ``partition by group_cols order by order_col``.
     """
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, group_cols) <= max_window_rows else "distributed"
-    if strategy == "window":
-        w = Window.partitionBy(*group_cols).orderBy(_sort_key(order_col, ascending))
-        return df.withColumn(rank_col, F.rank().over(w).cast("bigint")).withColumn(
-            dense_rank_col, F.dense_rank().over(w).cast("bigint")
-        )
-    if strategy != "distributed":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
     spark = df.sparkSession
     n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = list(group_cols)

@@ -187,10 +187,12 @@ def cast_price_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_price_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices imported as text, compared as numbers and cast to int."""
     p = Tables(spark, sf_dir).part.select(
         "p_partkey", F.col("p_retailprice").cast("string").alias("price")
     )
-    return p.select("p_partkey", cleaning.to_int("price").alias("price_int"))
+    dear = p.where(F.col("price").try_cast("double") > F.lit(PRICE_THRESHOLD))
+    return dear.select("p_partkey", cleaning.to_int("price").alias("price_int"))
 
 
 def filter_sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,6 +232,21 @@ def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         return e.select("event_id", dates.parse_date(text).alias("event_date"))
 
 
+def timestamp_text_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date part of a timestamp given as text; every seventh text is none."""
+    e = Tables(spark, sf_dir).events
+    text = F.when(F.col("event_id") % 7 == 0, F.lit("unknown")).otherwise(F.date_format("ts", dates.SECOND_PATTERN))
+    return e.select("event_id", dates.date_part_of(text).alias("event_date"))
+
+
+def epoch_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per month, the month taken from epoch milliseconds."""
+    e = Tables(spark, sf_dir).events
+    with session_time_zone(spark, "UTC"):
+        month = dates.epoch_ms_to_month(dates.timestamp_to_epoch_ms("ts"))
+        return e.groupBy(month.alias("event_month")).agg(F.count(F.lit(1)).alias("n_events"))
+
+
 def epoch_ms_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Tables(spark, sf_dir).events
     with session_time_zone(spark, "UTC"):
@@ -274,6 +291,8 @@ QUERIES = {
     "limit_rows": limit_rows,
     "month_key": month_key,
     "parse_date": parse_date,
+    "timestamp_text_to_date": timestamp_text_to_date,
+    "epoch_month": epoch_month,
     "epoch_ms_to_date": epoch_ms_to_date,
     "epoch_s_to_string": epoch_s_to_string,
     "empty_to_null": empty_to_null,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.functions import cleaning
 from shelfwise.session import scratch_path
 from shelfwise.sources import formats, sequence
 from shelfwise.sources.tables import Tables
@@ -82,12 +83,12 @@ def io_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formats.read_as(spark, path, "csv", src.schema, sep=PIPE, quote='"', encoding="UTF-8")
 
 
-def _sequence(key_first: bool, codec: str | None = None, new_api: bool = False):
+def _sequence(key_first: bool, codec: str | None = None, new_api: bool = False, inferred: bool = False):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = _part(spark, sf_dir)
         path = scratch_path(spark, "part-seq")
         sequence.write_sequence(src, path, key_first=key_first, codec=codec, new_api=new_api)
-        key_class = sequence.TEXT if key_first else sequence.NULL_WRITABLE
+        key_class = None if inferred else sequence.TEXT if key_first else sequence.NULL_WRITABLE
         kv = sequence.read_sequence(spark, path, new_api=new_api, key_class=key_class)
         return sequence.sequence_to_table(kv, src.schema, key_first=key_first)
 
@@ -110,6 +111,15 @@ def split_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formats.parse_delimited_lines(formats.read_as(spark, path, "text"), ",", declared)
 
 
+def split_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines split at their first comma: the key, and the rest as one value."""
+    nation = Tables(spark, sf_dir).nation
+    path = scratch_path(spark, "nation-lines")
+    lines = nation.select(F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey").alias("value"))
+    formats.write_as(lines, path, "text")
+    return formats.read_as(spark, path, "text").select(*cleaning.split_first("value", ","))
+
+
 def sql_on_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SELECT * FROM parquet.`path``` without registering a table."""
     path = Tables(spark, sf_dir).path("part")
@@ -158,17 +168,21 @@ QUERIES = {
     "io_xml": _round_trip("xml", "none"),
     "io_sequence_kv": _sequence(True),
     "io_sequence_null": _sequence(False),
-    "io_sequence_bzip2": _sequence(True, "bzip2"),
+    "io_sequence_bzip2": _sequence(True, "bzip2", inferred=True),
     "io_sequence_newapi": _sequence(True, new_api=True),
     "split_typed_rows": split_typed_rows,
+    "split_first_rows": split_first_rows,
     "sql_on_files": sql_on_files,
     "save_modes": save_modes,
 }
 
 _PART = "select * from part"
 
-ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes", "split_typed_rows")}
+ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes", "split_typed_rows", "split_first_rows")}
 ORACLE_SQL["split_typed_rows"] = "select c_custkey, c_name, c_acctbal from customer"
+ORACLE_SQL["split_first_rows"] = """
+    select cast(n_nationkey as varchar) as key, n_name || ',' || cast(n_regionkey as varchar) as value
+    from nation"""
 ORACLE_SQL["io_csv_quoted"] = """
     select p_partkey, concat_ws('|', p_name, p_brand) as p_label,
            case when p_size > 25 then p_type end as p_type, p_retailprice

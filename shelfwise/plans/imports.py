@@ -10,34 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import ingest
-from shelfwise.session import scratch_path
-from shelfwise.sources.formats import convert, data_source_available, write_as
+from shelfwise.session import scratch_path, unique_name
+from shelfwise.sources.formats import convert, write_as
 from shelfwise.sources.tables import Tables
 from shelfwise.streaming.incremental import read_target, run_available_now
 
 # Split points, separators and sentinels of the reference's
-# import commands.  The split points only divide the table between the two
-# imports of a merge or an incremental run; every key covers all rows.
+# import commands.  PART1_MAX, PART2_MIN and LAST_VALUE only divide the table
+# between the two imports of a merge or an incremental run; the bounds of the
+# bounded import are its feature.
 PART1_MAX, PART2_MIN = 1111, 1000
 LAST_VALUE = 1347
+BOUNDED_MIN, BOUNDED_MAX = 1, 1000
 STAR = "*"
 PIPE = "|"
+LINE_END = ";"
 
 # Tables a full import copies: the stand-ins of the retail schema
 # (departments, categories, products, customers, orders, order items).
 IMPORT_ALL = ("region", "nation", "supplier", "part", "customer", "orders", "lineitem")
 
 
-def _import_format(spark) -> str:
-    """Avro where the module is installed (as the reference imports), else
-    Parquet; both snappy-compressed."""
-    return "avro" if data_source_available(spark, "avro") else "parquet"
-
-
-def ingest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Import a whole table into snappy-compressed files."""
+def ingest_table(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Import a whole table into snappy-compressed files of the given format."""
     part = Tables(spark, sf_dir).part
-    return convert(part, scratch_path(spark, "import-part"), _import_format(spark), "snappy")
+    return convert(part, scratch_path(spark, "import-part"), fmt, "snappy")
 
 
 def ingest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,18 +43,12 @@ def ingest_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Import the key range reported by the boundary query, split into
-    key ranges, as '|'-delimited text with sentinels -1 and 'NOT-AVAILABLE';
-    read back.
-
-    Only the (min, max) row reaches the driver.  The number of splits (``-m``)
-    is the session's shuffle parallelism, which a cluster sizes to its data.
-    """
+    """Import the keys from BOUNDED_MIN to BOUNDED_MAX as '|'-delimited text
+    with sentinels -1 and 'NOT-AVAILABLE'; read back.  The bounds are filters
+    of the scan and its splits are the import tasks; nothing is shuffled."""
     part = Tables(spark, sf_dir).part
-    lower, upper = ingest.key_bounds(part, "p_partkey").first()
-    splits = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "import-part-bounded")
-    sliced = ingest.bounded_slice(part, "p_partkey", lower, upper, splits)
+    sliced = ingest.bounded_slice(part, "p_partkey", BOUNDED_MIN, BOUNDED_MAX)
     ingest.export_delimited(sliced, path, sep=PIPE, null_string="NOT-AVAILABLE", null_non_string=-1)
     return ingest.read_delimited(spark, path, part.schema, sep=PIPE)
 
@@ -76,22 +67,52 @@ def _with_gaps(part: DataFrame) -> DataFrame:
 
 
 def ingest_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with null sentinels, '*' between fields and ';' after each row."""
     src = _with_gaps(Tables(spark, sf_dir).part)
     path = scratch_path(spark, "import-part-nulls")
-    ingest.export_delimited(src, path, sep=STAR, null_string="NA", null_non_string=-1000)
-    return ingest.read_delimited(spark, path, src.schema, sep=STAR)
+    ingest.export_delimited(src, path, sep=STAR, null_string="NA", null_non_string=-1000, line_sep=LINE_END)
+    return ingest.read_delimited(spark, path, src.schema, sep=STAR, line_sep=LINE_END)
 
 
-def ingest_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Import several tables with one codec; report rows per imported table."""
+# What a column adds to a table's content figure: (Spark SQL, DuckDB SQL) by type.
+_CONTENT = {
+    "int": ("cast({c} as bigint)", "cast({c} as bigint)"),
+    "bigint": ("{c}", "{c}"),
+    "string": ("cast(length({c}) as bigint)", "cast(length({c}) as bigint)"),
+    "double": ("cast(round({c} * 100) as bigint)", "cast(round({c} * 100) as bigint)"),
+    "timestamp_ntz": ("datediff({c}, date '1970-01-01')", "datediff('day', date '1970-01-01', cast({c} as date))"),
+}
+
+# Columns of the imported tables by type, for the oracle.
+_IMPORTED = {
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
+    "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+    "lineitem": {
+        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
+        "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+    },
+}
+
+
+def _content(columns: dict[str, str], dialect: int) -> str:
+    """Sum over all values of a table: a position-weighted sum, so swapped columns show."""
+    terms = [f"{k + 1} * coalesce({_CONTENT[kind][dialect].format(c=c)}, 0)" for k, (c, kind) in enumerate(columns.items())]
+    return f"cast(sum({' + '.join(terms)}) as bigint)"
+
+
+def ingest_all_tables(spark: SparkSession, sf_dir: str, fmt: str = "parquet") -> DataFrame:
+    """Import several tables with one codec; report rows and content per imported table."""
     t = Tables(spark, sf_dir)
-    fmt = _import_format(spark)
-    counts = None
+    report = None
     for name in IMPORT_ALL:
         back = convert(t.load(name), scratch_path(spark, f"import-all-{name}"), fmt, "snappy")
-        c = back.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+        row = back.selectExpr(f"'{name}' as table_name", "*").groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"), F.expr(_content(dict(back.dtypes), 0)).alias("content"))
+        report = row if report is None else report.unionByName(row)
+    return report
 
 
 def _changed(part: DataFrame) -> DataFrame:
@@ -133,6 +154,18 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def ingest_incremental_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a catalog table: created by the initial import, appended
+    by two incremental runs."""
+    part = Tables(spark, sf_dir).part
+    target = unique_name("products_import")
+    part.where(F.col("p_partkey") <= LAST_VALUE).write.saveAsTable(target)
+    for _ in range(2):
+        last = ingest.last_value(spark.table(target), "p_partkey")
+        ingest.rows_after(part, "p_partkey", last).write.insertInto(target)
+    return spark.table(target)
+
+
 def ingest_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two slices land one after another; a checkpointed availableNow stream
     runs after each, and once more with nothing new."""
@@ -159,16 +192,14 @@ QUERIES = {
     "ingest_all_tables": ingest_all_tables,
     "ingest_merge": ingest_merge,
     "ingest_incremental": ingest_incremental,
+    "ingest_incremental_table": ingest_incremental_table,
     "ingest_incremental_stream": ingest_incremental_stream,
 }
 
 ORACLE_SQL = {
     "ingest_table": "select * from part",
     "ingest_bounds": "select min(p_partkey) as min_key, max(p_partkey) as max_key from part",
-    "ingest_bounded": """
-        select * from part
-        where p_partkey between (select min(p_partkey) from part)
-                            and (select max(p_partkey) from part)""",
+    "ingest_bounded": f"select * from part where p_partkey between {BOUNDED_MIN} and {BOUNDED_MAX}",
     "ingest_nulls": """
         select p_partkey, p_name,
                coalesce(case when p_size <= 40 then p_brand end, 'NA') as p_brand,
@@ -176,14 +207,9 @@ ORACLE_SQL = {
                coalesce(case when p_retailprice <= 990 then p_size end, -1000) as p_size,
                p_retailprice
         from part""",
-    "ingest_all_tables": """
-        select 'region' as table_name, count(*) as n_rows from region
-        union all select 'nation', count(*) from nation
-        union all select 'supplier', count(*) from supplier
-        union all select 'part', count(*) from part
-        union all select 'customer', count(*) from customer
-        union all select 'orders', count(*) from orders
-        union all select 'lineitem', count(*) from lineitem""",
+    "ingest_all_tables": " union all ".join(
+        f"select '{name}' as table_name, count(*) as n_rows, {_content(_IMPORTED[name], 1)} as content from {name}" for name in IMPORT_ALL
+    ),
     "ingest_merge": """
         select * from part where p_partkey <= 1000
         union all
@@ -191,5 +217,6 @@ ORACLE_SQL = {
                p_retailprice + 1.0 as p_retailprice
         from part where p_partkey > 1000""",
     "ingest_incremental": "select * from part",
+    "ingest_incremental_table": "select * from part",
     "ingest_incremental_stream": "select * from part",
 }

@@ -87,7 +87,7 @@ ANALYTICS_SQL = {
         from part where cast(cast(p_retailprice as varchar) as float) > 950""",
     "cast_price_int": """
         select p_partkey, cast(trunc(cast(cast(p_retailprice as varchar) as double)) as integer) as price_int
-        from part""",
+        from part where cast(cast(p_retailprice as varchar) as double) > 950""",
     "filter_sort_desc": """
         select p_partkey, p_retailprice from part where p_retailprice > 950
         order by p_retailprice desc""",
@@ -96,6 +96,9 @@ ANALYTICS_SQL = {
         select strftime(o_orderdate, '%Y-%m') as order_month, count(*) as n_orders
         from orders group by 1""",
     "parse_date": "select event_id, cast(ts as date) as event_date from events",
+    "timestamp_text_to_date": """
+        select event_id, case when event_id % 7 <> 0 then cast(ts as date) end as event_date from events""",
+    "epoch_month": "select strftime(ts, '%Y-%m') as event_month, count(*) as n_events from events group by 1",
     "epoch_ms_to_date": "select event_id, cast(ts as date) as event_date from events",
     "epoch_s_to_string": """
         select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as event_time from events""",

@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.plans import analytics
 from shelfwise.session import scratch_path, session_conf, unique_name
 from shelfwise.sources import catalog
-from shelfwise.sources.formats import write_as
+from shelfwise.sources.formats import CSV_QUOTING, write_as
 from shelfwise.sources.tables import Tables
 
-# The reference's two literal inserts mapped onto ``part``
-# (p_partkey, p_name, p_brand, p_type, p_size, p_retailprice); the second
-# carries a null.
+# Two literal rows for ``part`` (p_partkey, p_name, p_brand, p_type, p_size,
+# p_retailprice); the second carries a null.
 LITERAL_ROWS_SQL = (
-    "(1380, 'something 1376', 'something 2', 'WEAK', 3, 1.00), "
-    "(1381, 'something 1376', 'something 2', 'NOT APPLICABLE', NULL, 10.00)"
+    "(900001, 'garden hose', 'Brand#01', 'STANDARD RUBBER', 12, 24.5), "
+    "(900002, 'paper lamp', 'Brand#02', 'PROMO PAPER', NULL, 7.25)"
 )
 STATIC_PARTITION_VALUE = "21"
 MIN_BUCKETS = 4
@@ -32,13 +32,17 @@ def ddl_load_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited file with a header -> managed ``USING csv`` table -> load."""
     part = Tables(spark, sf_dir).part
     landing = scratch_path(spark, "landing-part-text")
-    write_as(part, landing, "csv", "none", sep="|", header="true")
+    # A plain reader has no way to undo escapes, so line breaks stay in quoted
+    # fields, each file is read by one task (multiLine), and the null mark
+    # itself reads as null, as in Hive.
+    quoting = CSV_QUOTING | {"multiLine": "true"}
+    write_as(part, landing, "csv", "none", sep="|", header="true", **CSV_QUOTING)
     name = unique_name("part_text")
     catalog.create_table(
-        spark, name, part.schema, using="csv", options={"sep": "|", "header": "true"},
+        spark, name, part.schema, using="csv", options={"sep": "|", "header": "true"} | quoting,
         comment="pipe-delimited part",
     )
-    catalog.load_delimited(spark, name, landing, sep="|", header=True, overwrite=True)
+    catalog.load_delimited(spark, name, landing, sep="|", header=True, overwrite=True, **quoting)
     return spark.table(name)
 
 
@@ -113,22 +117,25 @@ def ddl_alter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ddl_multi_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FROM src INSERT OVERWRITE TABLE a ... INSERT OVERWRITE TABLE b ...:
-    one scan of the source feeds two targets."""
+    """One scan of the source feeds two targets.
+
+    ``FROM src INSERT ... INSERT ...`` would scan the source once per target in
+    Spark.  Here one ``INSERT OVERWRITE`` writes a table partitioned by target,
+    and each target is a view of its partition.
+    """
     orders = Tables(spark, sf_dir).orders
-    src = unique_name("orders_src")
+    src, store = unique_name("orders_src"), unique_name("orders_split")
     orders.createOrReplaceTempView(src)
-    a, b = unique_name("orders_done"), unique_name("orders_open")
-    for t in (a, b):
-        catalog.create_table(spark, t, orders.schema, using="parquet")
+    kinds = T.StructType([*orders.schema.fields, T.StructField("target", T.StringType())])
+    catalog.create_table(spark, store, kinds, using="parquet", partitioned_by=["target"])
     spark.sql(
-        f"FROM {src} "
-        f"INSERT OVERWRITE TABLE {a} SELECT * WHERE o_orderstatus = 'F' "
-        f"INSERT OVERWRITE TABLE {b} SELECT * WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL"
-    )
-    return spark.table(a).withColumn("target", F.lit("done")).unionByName(
-        spark.table(b).withColumn("target", F.lit("open"))
+        f"INSERT OVERWRITE TABLE {store} "
+        f"SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS target FROM {src}"
     )
+    targets = {t: unique_name(f"orders_{t}") for t in ("done", "open")}
+    for target, view in targets.items():
+        spark.sql(f"CREATE TEMPORARY VIEW {view} AS SELECT * FROM {store} WHERE target = '{target}'")
+    return spark.table(targets["done"]).unionByName(spark.table(targets["open"]))
 
 
 def _orders_by_month(orders: DataFrame) -> DataFrame:
@@ -223,8 +230,8 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o_name, l_name = unique_name("orders_bkt"), unique_name("lineitem_bkt")
     orders = t.orders.select("o_orderkey", "o_orderstatus")
     items = t.lineitem.select("l_orderkey", "l_extendedprice")
-    # One bucket count for both sides (sized by the larger), so the join
-    # pairs bucket i with bucket i.
+    # One bucket count for both sides (from the bytes of the larger), so the
+    # join pairs bucket i with bucket i.
     n = catalog.bucket_count(orders, items, minimum=MIN_BUCKETS)
     catalog.save_bucketed(orders, o_name, "o_orderkey", n)
     catalog.save_bucketed(items, l_name, "l_orderkey", n)
@@ -240,8 +247,9 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ddl_temp_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-delimited file with a header -> temporary view over it (no copy)
     -> ``FROM view INSERT OVERWRITE TABLE`` into a table clustered by the
-    exchange into 40 buckets.  ``events`` stands in for the daily quotes:
-    exchange = event_type, symbol = user id, volume = event id."""
+    exchange and symbol into 40 buckets (there are only a few exchanges, and
+    one of them alone would be one bucket).  ``events`` stands in for the daily
+    quotes: exchange = event_type, symbol = user id, volume = event id."""
     quotes = Tables(spark, sf_dir).events.select(
         F.col("event_type").alias("exchang"),
         F.col("user_id").cast("string").alias("symbo"),
@@ -263,7 +271,7 @@ def ddl_temp_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(
         f"CREATE TABLE {name} (exchang varchar(20), symbo varchar(10), date string, "
         f"close double, volume bigint) USING parquet "
-        f"CLUSTERED BY (exchang) INTO {EXCHANGE_BUCKETS} BUCKETS"
+        f"CLUSTERED BY (exchang, symbo) INTO {EXCHANGE_BUCKETS} BUCKETS"
     )
     spark.sql(f"FROM {view} INSERT OVERWRITE TABLE {name} SELECT *")
     return spark.table(name)

@@ -8,8 +8,8 @@ Scale notes
   that has to be right for every stage.
 * Broadcasts are only made by Spark's own size-checked rule
   (``autoBroadcastJoinThreshold`` on plan statistics, and the AQE variant on
-  measured shuffle sizes) or by :func:`shelfwise.operators.joins.join_bounded`,
-  which counts the small side first.
+  measured shuffle sizes) or of results bounded by construction
+  (:func:`shelfwise.operators.joins.semi_join_top`).
 * Intermediate tables and round-trip outputs go below the shared folder named
   in ``spark.checkpoint.dir``.  Only when that setting is missing and the
   master is local (tests, laptops) is a private temporary folder created.
@@ -18,7 +18,6 @@ Scale notes
 from __future__ import annotations
 
 import contextlib
-import math
 import tempfile
 import uuid
 
@@ -28,26 +27,31 @@ _LOCAL_SCRATCH: dict[int, str] = {}
 
 
 def build_session(
-    master: str = "local[8]",
+    master: str | None = None,
     app_name: str = "shelfwise",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session tuned for the pipelines in this package."""
+    """Build (or reuse) a session tuned for the pipelines in this package.
+
+    Master, shuffle partitions and memory are the cluster's business: they come
+    from the submit command or the Spark defaults unless given here.
+    """
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -55,48 +59,19 @@ def build_session(
     return spark
 
 
-MB = 1024 * 1024
-
-
-def scale_settings(
-    input_bytes: int,
-    *,
-    shuffle_partition_bytes: int = 128 * MB,
-    split_bytes: int = 256 * MB,
-    minimum_partitions: int = 8,
-) -> dict[str, str]:
-    """Settings sized to the data a job reads (pass to ``build_session(extra=)``).
-
-    The largest shuffle of these pipelines is at most about the bytes read
-    (a join of the two largest tables before any aggregate), so the static
-    partition count is ``input_bytes / shuffle_partition_bytes``: every
-    reducer then holds about one advisory partition and nothing spills when
-    AQE leaves a stage as it is.  AQE still merges partitions of the smaller
-    stages toward the same size and splits skewed join partitions.  Scan
-    splits of ``split_bytes`` keep the number of map tasks (and of files a
-    write produces) proportional to the input.
-    """
-    partitions = max(minimum_partitions, math.ceil(input_bytes / shuffle_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * shuffle_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(split_bytes),
-    }
-
-
 def _shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (or the
+    one set with ``SparkContext.setCheckpointDir``).
 
-    If the setting is absent and the master is local, a private folder is
+    If there is none and the master is local, a private folder is
     made and registered as the checkpoint directory (test set-up only).  On a
     cluster without the setting we refuse rather than write to a disk only one
     machine can see.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
     key = id(sc)
     if key in _LOCAL_SCRATCH:
         return _LOCAL_SCRATCH[key]

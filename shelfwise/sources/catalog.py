@@ -17,8 +17,8 @@ Scale notes
   sets it for the duration of the statement only.
 * Bucketed tables hash-partition and sort on the bucket key once at write;
   joins and aggregations on that key then read the buckets without a shuffle.
-  A bucketed scan runs one task per bucket, so the bucket count must grow
-  with the table: :func:`bucket_count` gives one bucket per input split.
+  A bucketed scan runs one task per bucket, so the bucket count grows with
+  the table's bytes up to a bound Spark accepts: :func:`buckets_for_bytes`.
   The write shuffles on the bucket key first, so each bucket is one file
   written by one task (without it every writer task would write a file for
   every bucket).
@@ -33,6 +33,10 @@ from pyspark.sql import types as T
 from shelfwise.session import session_conf
 
 
+BUCKET_BYTES = 256 * 1024 * 1024
+MAX_BUCKETS = 50_000
+
+
 def ddl_columns(schema: T.StructType) -> str:
     """``col type, ...`` for a CREATE TABLE statement."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -71,15 +75,18 @@ def load_delimited(
     sep: str,
     header: bool = False,
     overwrite: bool = False,
+    **options,
 ) -> None:
     """``LOAD DATA INPATH path [OVERWRITE] INTO TABLE table`` for delimited
     text: the file is parsed with the table's schema (header skipped if
-    present) and inserted by position."""
+    present) and inserted by position.  ``options`` are the reader's, such as
+    ``multiLine`` for quoted fields that hold line breaks."""
     schema = spark.table(table).schema
     df = (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", str(header).lower())
+        .options(**options)
         .csv(path)
     )
     df.write.insertInto(table, overwrite=overwrite)
@@ -102,33 +109,37 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         df.write.insertInto(table, overwrite=True)
 
 
-def bucket_count(*dfs: DataFrame, minimum: int = 1) -> int:
-    """Buckets for tables that will be joined on their bucket key.
+def buckets_for_bytes(size: int, minimum: int = 1) -> int:
+    """Buckets for a table of ``size`` bytes: one per ``BUCKET_BYTES``, at most
+    ``MAX_BUCKETS``.
 
-    One bucket per input split of the largest input, so a bucket holds about
-    ``spark.sql.files.maxPartitionBytes`` of input and a bucketed scan runs as
-    many tasks as a plain scan of the same data.  Tables joined bucket to
-    bucket must share the count.  For scans (no shuffle in the plan) this
-    plans the file splits and runs no job.
+    Spark refuses more than 100,000 buckets.  Beyond the bound buckets grow
+    instead (2 GB each at 100 TB): the one task that reads or sorts a bucket
+    may spill, and no row is left out.
     """
-    return max(minimum, *(df.rdd.getNumPartitions() for df in dfs))
+    return min(MAX_BUCKETS, max(minimum, -(-size // BUCKET_BYTES)))
 
 
-def save_bucketed(
-    df: DataFrame, name: str, key: str, buckets: int | None = None, fmt: str = "parquet"
-) -> str:
+def bucket_count(*dfs: DataFrame, minimum: int = 1) -> int:
+    """Buckets for tables that will be joined on their bucket key, from the
+    planner's size of the largest input (file sizes for a scan; nothing is run).
+    Tables joined bucket to bucket must share the count."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in dfs]
+    return buckets_for_bytes(max(sizes), minimum)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "parquet") -> str:
     """``CLUSTERED BY (key) SORTED BY (key) INTO buckets BUCKETS``.
 
     ``repartition(buckets, key)`` uses the same hash as the bucketing, so
     every writer task holds exactly one bucket and writes one file.  A bucket
     key holding a third of all rows puts that third in one bucket; such a key
-    should not be a bucket key.
+    should not be a bucket key on its own.
     """
-    n = buckets or bucket_count(df)
     (
-        df.repartition(n, key)
+        df.repartition(buckets, key)
         .write.format(fmt)
-        .bucketBy(n, key)
+        .bucketBy(buckets, key)
         .sortBy(key)
         .saveAsTable(name)
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,10 @@ CODECS = {
 # Fixed value: how a null is printed in delimited text lines (Hive's marker).
 NULL_MARK = "\\N"
 
+# Quotes inside quoted CSV fields are doubled; a null is the
+# mark, so an empty string stays one.
+CSV_QUOTING = {"quote": '"', "escape": '"', "nullValue": NULL_MARK}
+
 XML_ROW_TAG = "row"
 XML_ROOT_TAG = "rows"
 
@@ -84,51 +88,106 @@ def convert(
     """Write ``df`` as ``fmt`` and return the table read back from ``path``.
 
     The read uses ``df``'s schema for formats that do not embed one, so the
-    result has the same columns and types as the input.
+    result has the same columns and types as the input.  CSV strings are
+    written with their line breaks escaped, so files stay splittable and every
+    value comes back as it was.
     """
-    write_as(df, path, fmt, compression, **options)
+    csv = fmt == "csv"
+    if csv:
+        options = CSV_QUOTING | options
+    write_as(map_strings(df, lambda c: escape(c)) if csv else df, path, fmt, compression, **options)
     embedded = fmt in ("parquet", "orc", "avro")
     read_opts = {k: v for k, v in options.items() if k in ("sep", "header", "quote", "escape", "nullValue", "lineSep", "rowTag", "encoding")}
-    return read_as(df.sparkSession, path, fmt, None if embedded else df.schema, **read_opts)
+    back = read_as(df.sparkSession, path, fmt, None if embedded else df.schema, **read_opts)
+    return map_strings(back, lambda c: unescape(c)) if csv else back
+
+
+def _marks(sep: str, line_sep: str) -> dict[str, str]:
+    """The character written after a backslash for each character that may not
+    stand in a line: none of them is part of a separator itself."""
+    if not sep.isascii() or "\\" in sep + line_sep or "\n" in sep or "\r" in sep:
+        raise ValueError("a separator must not hold a backslash or a line break")
+    special = list(dict.fromkeys(["\n", "\r", *line_sep, *sep]))
+    free = [c for c in "nrtsdquvwxyz" if c not in sep + line_sep]
+    return dict(zip(special, free, strict=False))
+
+
+def escape(text: Column, sep: str = "", line_sep: str = "\n") -> Column:
+    """``text`` without line breaks or separators: each is a backslash and a
+    letter instead, and a backslash is two."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for char, mark in _marks(sep, line_sep).items():
+        out = F.replace(out, F.lit(char), F.lit("\\" + mark))
+    return out
+
+
+def unescape(text: Column, sep: str = "", line_sep: str = "\n") -> Column:
+    """Undo :func:`escape`.  Pairs of backslashes are set apart first, so what
+    is left after each of them is a mark."""
+
+    def plain(part: Column) -> Column:
+        for char, mark in _marks(sep, line_sep).items():
+            part = F.replace(part, F.lit("\\" + mark), F.lit(char))
+        return part
+
+    pairs = F.split(text, re.escape("\\\\"), -1)
+    whole = F.array_join(F.transform(pairs, plain), "\\")
+    return F.when(F.instr(text, "\\") > 0, whole).otherwise(text)
+
+
+def map_strings(df: DataFrame, change) -> DataFrame:
+    """``df`` with ``change`` applied to every string column."""
+    return df.select(
+        *[change(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields]
+    )
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:
-    """One JSON document per row (``toJSON``), as a single ``value`` column."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    """One JSON document per row (``toJSON``), as a single ``value`` column.
+    Nulls are written, so a column without any value keeps its name."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+
 
+def field_text(c: Column, kind: T.DataType, sep: str, line_sep: str = "\n") -> Column:
+    """One field of a delimited line; a null is ``NULL_MARK``, which no escaped text equals."""
+    text = escape(c, sep, line_sep) if isinstance(kind, T.StringType) else c.cast("string")
+    return F.coalesce(text, F.lit(NULL_MARK))
 
-def delimited_value(df: DataFrame, sep: str, columns: list[str] | None = None):
-    """Column expression: the given columns as one ``sep``-delimited string,
-    nulls printed as ``NULL_MARK`` so field positions survive."""
+
+def delimited_value(df: DataFrame, sep: str, columns: list[str] | None = None, line_sep: str = "\n") -> Column:
+    """Column expression: the given columns as one ``sep``-delimited string.
+    Separators, line breaks and backslashes inside strings are escaped."""
     cols = columns if columns is not None else df.columns
-    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in cols])
+    return F.concat_ws(sep, *[field_text(F.col(c), df.schema[c].dataType, sep, line_sep) for c in cols])
 
 
-def to_delimited_lines(df: DataFrame, sep: str) -> DataFrame:
+def to_delimited_lines(df: DataFrame, sep: str, line_sep: str = "\n") -> DataFrame:
     """One delimited text line per row in a ``value`` column."""
-    return df.select(delimited_value(df, sep).alias("value"))
+    return df.select(delimited_value(df, sep, line_sep=line_sep).alias("value"))
+
+
+def parse_delimited_lines(lines: DataFrame, sep: str, schema: T.StructType, col: str = "value", line_sep: str = "\n") -> DataFrame:
+    """Split ``sep``-delimited lines into the typed columns of ``schema``; a
+    line with another number of fields is an error."""
+    return lines.select(*delimited_fields(F.col(col), sep, schema, line_sep))
 
 
-def parse_delimited_lines(lines: DataFrame, sep: str, schema: T.StructType, col: str = "value") -> DataFrame:
-    """Split ``sep``-delimited lines into the typed columns of ``schema``."""
-    parts = F.split(F.col(col), re.escape(sep), -1)
-    return lines.select(*[typed_field(parts.getItem(i), f) for i, f in enumerate(schema.fields)])
+def delimited_fields(line: Column, sep: str, schema: T.StructType, line_sep: str = "\n") -> list[Column]:
+    """The typed columns of ``schema`` from a delimited line."""
+    parts, n = F.split(line, re.escape(sep), -1), len(schema.fields)
+    wrong = F.raise_error(F.concat(F.lit(f"expected {n} fields: "), line))
+    checked = F.when(F.size(parts) == n, parts).otherwise(wrong.cast("array<string>"))
+    return [typed_field(checked.getItem(i), f, sep, line_sep) for i, f in enumerate(schema.fields)]
 
 
-def typed_field(text, field: T.StructField):
-    return F.when(text == F.lit(NULL_MARK), F.lit(None)).otherwise(text).cast(field.dataType).alias(field.name)
+def typed_field(text: Column, field: T.StructField, sep: str, line_sep: str = "\n") -> Column:
+    """A field written by :func:`field_text` as its type."""
+    value = unescape(text, sep, line_sep) if isinstance(field.dataType, T.StringType) else text
+    return F.when(text != F.lit(NULL_MARK), value).cast(field.dataType).alias(field.name)
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s columns from ``df`` by name, cast to its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def data_source_available(spark: SparkSession, fmt: str) -> bool:
-    """True if ``spark.read.format(fmt)`` resolves to an installed source."""
-    try:
-        spark.read.format(fmt).load("/nonexistent-shelfwise-probe")
-    except Exception as exc:  # the message tells a missing source from a missing path
-        text = str(exc)
-        return "DATA_SOURCE_NOT_FOUND" not in text and "Failed to find data source" not in text
-    return True
+    """Select ``schema``'s columns from ``df`` by name, cast to its types; a
+    column that is not there is null."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -10,13 +10,11 @@ values would become ``ArrayWritable``, which cannot be read back.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.sources.formats import typed_field, delimited_value, parse_delimited_lines
+from shelfwise.sources.formats import delimited_fields, delimited_value, field_text, parse_delimited_lines, typed_field
 
 # Hadoop class names used at the SequenceFile boundary.
 TEXT = "org.apache.hadoop.io.Text"
@@ -37,7 +35,7 @@ def _kv_rows(df: DataFrame, sep: str, key_first: bool) -> DataFrame:
     cols = df.columns
     if key_first:
         return df.select(
-            F.col(cols[0]).cast("string").alias("key"),
+            field_text(F.col(cols[0]), df.schema[cols[0]].dataType, sep).alias("key"),
             delimited_value(df, sep, cols[1:]).alias("value"),
         )
     return df.select(F.lit(None).cast("string").alias("key"), delimited_value(df, sep).alias("value"))
@@ -54,8 +52,9 @@ def write_sequence(
 ) -> str:
     """Save rows as a SequenceFile of (Text key | NullWritable, Text value).
 
-    ``key_first``: first column is the key, the rest joined by ``sep`` is the
-    value; otherwise the key is null and the value holds every column.
+    ``key_first``: first column is the key (a null as the null mark), the rest
+    joined by ``sep`` is the value; otherwise the key is null and the value
+    holds every column.
     """
     kv = _kv_rows(df, sep, key_first).rdd.map(tuple)
     if new_api:
@@ -70,14 +69,17 @@ def write_sequence(
     return path
 
 
-def read_sequence(spark: SparkSession, path: str, *, new_api: bool = False, key_class: str = TEXT) -> DataFrame:
-    """Read a SequenceFile into a (key string, value string) DataFrame."""
+def read_sequence(spark: SparkSession, path: str, *, new_api: bool = False, key_class: str | None = TEXT) -> DataFrame:
+    """Read a SequenceFile into a (key string, value string) DataFrame; without
+    a ``key_class`` the classes are those named in the files."""
     sc = spark.sparkContext
     if new_api:
-        rdd = sc.newAPIHadoopFile(path, SEQ_INPUT_FORMAT, key_class, TEXT)
+        rdd = sc.newAPIHadoopFile(path, SEQ_INPUT_FORMAT, key_class or TEXT, TEXT)
+    elif key_class is None:
+        rdd = sc.sequenceFile(path)
     else:
         rdd = sc.sequenceFile(path, key_class, TEXT)
-    return spark.createDataFrame(rdd, KV_SCHEMA)
+    return spark.createDataFrame(rdd, KV_SCHEMA, verifySchema=False)
 
 
 def sequence_to_table(kv: DataFrame, schema: T.StructType, *, key_first: bool = True, sep: str = "|") -> DataFrame:
@@ -85,8 +87,4 @@ def sequence_to_table(kv: DataFrame, schema: T.StructType, *, key_first: bool =
     if not key_first:
         return parse_delimited_lines(kv, sep, schema)
     first, rest = schema.fields[0], T.StructType(schema.fields[1:])
-    split = F.split(F.col("value"), re.escape(sep), -1)
-    return kv.select(
-        F.col("key").cast(first.dataType).alias(first.name),
-        *[typed_field(split.getItem(i), f) for i, f in enumerate(rest.fields)],
-    )
+    return kv.select(typed_field(F.col("key"), first, sep), *delimited_fields(F.col("value"), sep, rest))

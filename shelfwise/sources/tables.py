@@ -5,10 +5,8 @@
 action runs, so Catalyst prunes columns and pushes filters into each scan
 (``ReadSchema`` / ``PushedFilters`` in ``explain``).
 
-The loaded relation (file listing and footer schema) is kept per session and
-path, so repeated queries over an immutable snapshot do not list a table's
-files again -- on a cluster with thousands of files per table that listing
-costs seconds.  ``Tables(..., cache=False)`` or :func:`forget` re-lists.
+Every access lists the table's files anew, so files appended since the last
+query are read.
 """
 
 from __future__ import annotations
@@ -33,36 +31,18 @@ TABLE_NAMES = (
 )
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
-def forget(root: str | None = None) -> None:
-    """Drop remembered relations (all, or those below ``root``)."""
-    for key in [k for k in _RELATIONS if root is None or k[1].startswith(root)]:
-        del _RELATIONS[key]
-
-
 class Tables:
     """Lazy access to ``<root>/<name>.parquet`` tables."""
 
-    def __init__(self, spark: SparkSession, root: str, cache: bool = True):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.cache = cache
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
     def load(self, name: str) -> DataFrame:
-        path = self.path(name)
-        if not self.cache:
-            return self.spark.read.parquet(path)
-        key = (id(self.spark), path)
-        df = _RELATIONS.get(key)
-        if df is None or df.sparkSession is not self.spark:
-            df = self.spark.read.parquet(path)
-            _RELATIONS[key] = df
-        return df
+        return self.spark.read.parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

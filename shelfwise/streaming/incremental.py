@@ -10,7 +10,9 @@ checkpoint: a failed batch is re-planned from the same offsets.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,14 +25,16 @@ def run_available_now(
     *,
     source_format: str = "parquet",
     target_format: str = "parquet",
-    timeout_s: float = 600.0,
     max_files_per_trigger: int | None = None,
 ) -> int:
     """Process everything new under ``source_dir`` and stop.
 
-    Returns the number of micro-batches run.  ``max_files_per_trigger``
-    bounds the size of one micro-batch when a large backlog has landed.
+    Waits until the last batch is committed, however long that takes.  Returns
+    the number of micro-batches committed by this run.
+    ``max_files_per_trigger`` bounds the size of one micro-batch when a large
+    backlog has landed.
     """
+    before = committed_batches(spark, checkpoint_dir)
     reader = spark.readStream.schema(schema).format(source_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -43,15 +47,28 @@ def run_available_now(
         .start(target_dir)
     )
     try:
-        finished = query.awaitTermination(timeout_s)
-        if not finished:
-            raise TimeoutError(f"incremental import did not finish in {timeout_s}s")
-        if query.exception() is not None:
-            raise query.exception()
+        query.awaitTermination()  # raises if the query failed
     finally:
         if query.isActive:
             query.stop()
-    return len(query.recentProgress)
+    return committed_batches(spark, checkpoint_dir) - before
+
+
+def committed_batches(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Micro-batches committed under a checkpoint so far.
+
+    The commit log names each batch by its number from 0.  Spark keeps only
+    the latest entries, but the highest number stays among them.
+    """
+    try:
+        log = spark.read.format("binaryFile").load(f"{checkpoint_dir}/commits").select("path")
+        number = F.regexp_extract("path", r"/(\d+)$", 1).try_cast("long")
+        last = log.agg(F.max(number)).first()[0]
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return 0 if last is None else last + 1
 
 
 def read_target(spark: SparkSession, target_dir: str, target_format: str = "parquet") -> DataFrame:

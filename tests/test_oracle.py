@@ -10,12 +10,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from shelfwise.plans.registry import oracle_queries, query_registry
 from shelfwise.sources.tables import TABLE_NAMES
 
 from conftest import SF01
 
-KEYS = sorted(entry.queries())
-SQL = entry.oracle_sql()
+KEYS = sorted(query_registry())
+SQL = oracle_queries()
 
 
 def _norm(v):
@@ -56,7 +57,7 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_key_matches_oracle(spark, duck, key):
-    df = entry.queries()[key](spark, SF01)
+    df = query_registry()[key](spark, SF01)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     cur = duck.execute(SQL[key])
     d_cols, d_rows = [d[0] for d in cur.description], cur.fetchall()

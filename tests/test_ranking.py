@@ -3,11 +3,16 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from shelfwise.operators.ranking import rank_within
 
 
 def _by_window(df, groups, order, ascending=True):
-    return rank_within(df, groups, order, ascending=ascending, strategy="window")
+    key = F.col(order).asc_nulls_first() if ascending else F.col(order).desc_nulls_last()
+    w = Window.partitionBy(*groups).orderBy(key)
+    return df.withColumn("rank", F.rank().over(w).cast("bigint")).withColumn("dense_rank", F.dense_rank().over(w).cast("bigint"))
 
 
 def _same(a, b):
@@ -19,20 +24,8 @@ def _same(a, b):
 def test_tied_ranks(spark):
     # FIXTURES: three rows, two with one price -> rank 1,1,3; dense 1,1,2
     df = spark.createDataFrame([(1, 10, 5.0), (1, 11, 5.0), (1, 12, 7.0)], "d int, p int, price double")
-    for strategy in ("auto", "window", "distributed"):
-        ranked = rank_within(df, ["d"], "price", strategy=strategy, buckets=2)
-        got = {r.p: (r["rank"], r.dense_rank) for r in ranked.collect()}
-        assert got == {10: (1, 1), 11: (1, 1), 12: (3, 2)}
-
-
-def test_auto_switches_on_group_size(spark):
-    df = spark.range(0, 500).selectExpr("cast(id % 2 as int) as d", "id", "cast(id % 13 as double) as v")
-    small = rank_within(df, ["d"], "v", max_window_rows=1000)
-    big = rank_within(df, ["d"], "v", max_window_rows=100, buckets=4)
-    assert "Window" in small._jdf.queryExecution().optimizedPlan().toString()
-    # The distributed path reads the bucketed histogram it wrote once.
-    assert "_bucket" in big._jdf.queryExecution().optimizedPlan().toString()
-    _same(small, big)
+    ranked = rank_within(df, ["d"], "price", buckets=2)
+    assert {r.p: (r["rank"], r.dense_rank) for r in ranked.collect()} == {10: (1, 1), 11: (1, 1), 12: (3, 2)}
 
 
 def test_skewed_group_matches_window(spark):
@@ -41,20 +34,20 @@ def test_skewed_group_matches_window(spark):
     rows += [(0, 10_000 + i, 13.0) for i in range(2000)]
     rows += [(g, 20_000 + g * 10 + i, float(i)) for g in range(1, 6) for i in range(10)]
     df = spark.createDataFrame(rows, "d int, p int, price double").repartition(7)
-    _same(rank_within(df, ["d"], "price", buckets=16, strategy="distributed"), _by_window(df, ["d"], "price"))
+    _same(rank_within(df, ["d"], "price", buckets=16), _by_window(df, ["d"], "price"))
 
 
 def test_nulls_and_descending(spark):
     rows = [(1, 1, None), (1, 2, 3.0), (1, 3, None), (1, 4, 1.0), (2, 5, None), (None, 6, 2.0), (None, 7, 2.0)]
     df = spark.createDataFrame(rows, "d int, p int, price double")
     for asc in (True, False):
-        _same(rank_within(df, ["d"], "price", ascending=asc, buckets=3, strategy="distributed"), _by_window(df, ["d"], "price", asc))
+        _same(rank_within(df, ["d"], "price", ascending=asc, buckets=3), _by_window(df, ["d"], "price", asc))
 
 
 def test_two_group_columns(spark):
     rows = [(a, b, i, float((i * 7) % 11)) for a in range(3) for b in range(2) for i in range(40)]
     df = spark.createDataFrame(rows, "a int, b int, p int, v double")
-    _same(rank_within(df, ["a", "b"], "v", buckets=5, strategy="distributed"), _by_window(df, ["a", "b"], "v"))
+    _same(rank_within(df, ["a", "b"], "v", buckets=5), _by_window(df, ["a", "b"], "v"))
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -69,7 +62,7 @@ def test_two_group_columns(spark):
 def test_property_matches_window(spark, rows, buckets):
     data = [(g, i, v) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g int, id int, v int")
-    _same(rank_within(df, ["g"], "v", buckets=buckets, strategy="distributed"), _by_window(df, ["g"], "v"))
+    _same(rank_within(df, ["g"], "v", buckets=buckets), _by_window(df, ["g"], "v"))
 
 
 def test_sampled_range_bounds_match_window(spark):
@@ -78,13 +71,11 @@ def test_sampled_range_bounds_match_window(spark):
     df = spark.range(0, 200_000, numPartitions=16).selectExpr(
         "cast(id % 3 as int) as g", "id", "cast((id * 7919) % 200003 as double) as v"
     )
-    _same(rank_within(df, ["g"], "v", buckets=16, strategy="distributed"), _by_window(df, ["g"], "v"))
+    _same(rank_within(df, ["g"], "v", buckets=16), _by_window(df, ["g"], "v"))
 
 
 def test_filter_above_distributed_rank_keeps_ranks(spark):
-    # W3: ranks are computed before the price filter, on both strategies.
-    from pyspark.sql import functions as F
-
+    # W3: ranks are computed before the price filter.
     from shelfwise.plans import analytics
     from shelfwise.sources.tables import Tables
 
@@ -92,6 +83,6 @@ def test_filter_above_distributed_rank_keeps_ranks(spark):
 
     base = analytics._dept_products(Tables(spark, SF01))
     cheap = F.col("product_price") < 5000
-    d = rank_within(base, ["department_id"], "product_price", strategy="distributed", buckets=3).where(cheap)
+    d = rank_within(base, ["department_id"], "product_price", buckets=3).where(cheap)
     w = _by_window(base, ["department_id"], "product_price").where(cheap)
     _same(d, w)

@@ -75,7 +75,7 @@ def main(argv) -> None:
             order_day=F.to_date("o_orderdate"), status="o_orderstatus", amount="l_extendedprice"),
         "busiest_day_rows (hot day)": lambda: agg.busiest_day_rows(hot_day, F.to_date("o_orderdate")),
         "rank_within distributed (hot department)": lambda: rank_within(
-            hot_dept, ["p_size"], "p_retailprice", strategy="distributed"),
+            hot_dept, ["p_size"], "p_retailprice"),
     }
     sc = spark.sparkContext
     for name, build in runs.items():
