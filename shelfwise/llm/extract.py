@@ -26,7 +26,7 @@ path.
 Defined results: null or empty html gives an empty text; a page without a URL
 or alone on its host has no neighbour and is judged by its structure; repeated
 rows each give a row; pages with equal host and path have one representative,
-that of the smallest page id.
+that of the smallest page id (a null id only if there is no other).
 """
 
 from __future__ import annotations
@@ -299,7 +299,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", bod
     picked = pages.select(pages[page_id].alias("page_id"), pages[url].cast("string").alias("url"), pages[body].cast("string").alias("html"))
     kind = picked.schema["page_id"].dataType.simpleString()
     keyed = picked.mapInArrow(_keys, f"page_id {kind}, host string, path string, hashes array<long>").where("host IS NOT NULL")
-    first = written(keyed.groupBy("host", "path").agg(F.min_by("hashes", F.struct("page_id", "hashes")).alias("hashes")), "page-lines")
+    first = written(keyed.groupBy("host", "path").agg(F.min_by("hashes", F.struct(F.col("page_id").isNull(), "page_id", "hashes")).alias("hashes")), "page-lines")
     listed = written(in_order(first.select("host", "path"), F.col("host"), F.col("path")), "page-order")
     known = written(listed.join(first, ["host", "path"]), "page-neighbours")
     near = known.select("host", "path", "place")
