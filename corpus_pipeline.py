@@ -10,31 +10,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import decontaminate, jaccard, language, mixing, rans
-from shelfwise.llm.common import written
+from shelfwise.llm.common import reachable, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: texts without a letter, or in no language with a probability of a half, go."""
+    reachable(spark)
     return language.keep_identified(docs, language.fit(docs))
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of documents linked by their shingles the one with the smallest id stays."""
+    reachable(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that hold a window of a benchmark item go."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, reachable(spark).read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: every document as often as the mix takes it."""
+    reachable(spark)
     return mixing.mix(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: token ids written in the binary format; the digest read back from the files."""
+    reachable(spark)
     return rans.encoded_digest(docs)
 
 
