@@ -58,7 +58,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = build_session(master=f"local[{cpus}]", app_name="shelfwise-bench", shuffle_partitions=cpus)
+    spark = build_session(master=f"local[{cpus}]", app_name="shelfwise-bench", shuffle_partitions=cpus, extra={"spark.driver.memory": "16g"})
     reg = query_registry()
     times: dict[str, float] = {}
     for key in HEADLINE:

@@ -41,7 +41,7 @@ def timed(fn, reps):
 def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     reps = int(argv[1]) if len(argv) > 1 else 3
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "16g"})
     Tables(spark, sf_dir).register_views()
     con = duckdb.connect()
     for t in TABLE_NAMES:

@@ -41,7 +41,7 @@ def summary(plan: str) -> dict[str, int]:
 
 def main(argv) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "16g"})
     print("# Plan shapes of the analytics keys\n")
     print(f"Produced by `python tools/plan_summary.py {sf_dir}`. Counts are taken from the physical plan")
     print("before AQE re-planning. *default*: the session as configured; small sides are broadcast by")

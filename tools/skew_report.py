@@ -44,8 +44,11 @@ def main(argv) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     log_dir = tempfile.mkdtemp(prefix="skew-eventlog-")
     spark = build_session(
+        master="local[8]",
         app_name="shelfwise-skew",
+        shuffle_partitions=8,
         extra={
+            "spark.driver.memory": "16g",
             "spark.eventLog.enabled": "true",
             "spark.eventLog.dir": f"file://{log_dir}",
             "spark.eventLog.compress": "false",
