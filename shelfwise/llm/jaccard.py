@@ -16,13 +16,17 @@ bucket of equal keys.  Identical sets are one set from the start.
 
 Counting.  A candidate pair's overlap is counted per fragment of a coarse cut
 of the same order, each on its own, and the partial counts are summed per pair.
+Before that, a sketch of one byte per fine fragment bounds it: two segments
+whose bytes differ hold at least one shingle that is not shared, so a pair with
+more unequal bytes than D cannot link.  The bound is certain, never a guess.
 
 Which pairs.  Only components are asked for, so no bucket is expanded into all
-its pairs.  In every round the members of a bucket are put in an order, next to
-next; neighbours of different components are counted and the links found merge
-components.  Orders change from round to round.  When a round finds nothing
-new, or little is left, the pairs still open -- members of a bucket outside its
-largest component, against members of other components -- are all counted.  No
+its pairs.  In a few rounds the members of a bucket are put in an order;
+neighbours of different components are counted and the links found merge
+components.  Orders change from round to round.  Then the pairs still open --
+members of a bucket outside its largest component, against members of other
+components -- are all bounded by their sketches, in blocks of at most about
+``CHUNK`` by ``CHUNK`` members, and those the bound leaves are counted.  No
 pair that might link is left out.
 
 How the work is spread.  Keys and set numbers are shuffled, 16 bytes each.
@@ -58,7 +62,8 @@ SPARE = 2
 COARSE = 8
 BITS = 26
 FAN_OUT = 1000
-ROUNDS = 6
+ROUNDS = 2
+CHUNK = 1024
 
 _TABLE = byte_table([9, 10, 11, 12, 13, 32])
 
@@ -172,7 +177,7 @@ def _wanted_sets(batches, bitmap):
     bits, seen = bitmap.value, set()
     for batch in batches:
         for part in text_slices(batch.column(0)):
-            numbers, segments = [], []
+            numbers, segments, sizes, sketches = [], [], [], []
             for s in shingle_sets(part):
                 number = set_number(s)
                 if number is None or number in seen:
@@ -182,10 +187,45 @@ def _wanted_sets(batches, bitmap):
                     continue
                 seen.add(number)
                 numbers.append(number)
+                sizes.append(len(s))
+                sketches.append(sketch(s))
                 cuts = np.searchsorted(s, [np.uint64((k << 64) // COARSE) for k in range(1, COARSE)])
                 segments.append([x.view(np.int64) for x in np.split(s, cuts)])
             if numbers:
-                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(segments, pa.list_(pa.list_(pa.int64())))], ["set", "segments"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary()), pa.array(segments, pa.list_(pa.list_(pa.int64())))],
+                    ["set", "size", "sketch", "segments"],
+                )
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """One byte per fine fragment, a power of two of them: the exclusive or of its shingles' bytes."""
+    fragments = 1 << max(3, round(math.log2(max(8, len(shingles) / 2))))
+    out = np.zeros(fragments, np.uint8)
+    at = (shingles >> np.uint64(64 - fragments.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    out[at[first]] = np.bitwise_xor.reduceat((mix64(shingles) >> np.uint64(56)).astype(np.uint8), first)
+    return out.tobytes()
+
+
+def folded(rows: np.ndarray, fragments: int) -> np.ndarray:
+    """Sketches (one per row) as they would be with fewer fragments."""
+    while rows.shape[1] > fragments:
+        rows = rows[:, ::2] ^ rows[:, 1::2]
+    return rows
+
+
+def may_link(sizes, sketches, other_sizes, other_sketches, percent: int) -> np.ndarray:
+    """For every pair of rows, whether their sketches leave room for a link.
+
+    Both sides come as sizes and matrices of sketches, one pair per row (or
+    one row on one side, for all rows of the other).
+    """
+    fragments = min(sketches.shape[1], other_sketches.shape[1])
+    unequal = (folded(sketches, fragments) != folded(other_sketches, fragments)).sum(axis=1)
+    total = sizes + other_sizes
+    fits = 100 * np.minimum(sizes, other_sizes) >= percent * np.maximum(sizes, other_sizes)
+    return fits & (unequal * (100 + percent) <= total * (100 - percent))
 
 
 def _bitmap(sets: DataFrame) -> np.ndarray:
@@ -198,32 +238,84 @@ def _bitmap(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node of each component of (u, v) edges.
+def components(edges: DataFrame) -> DataFrame | None:
+    """(node, component): the smallest node of each component of (u, v) edges; None without edges.
 
     Alternating star contractions: every node hands its larger neighbours to its
     smallest one, then its smaller ones, until only stars are left.
     """
-    edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     state = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "small-star")
+        edges = written(edges, "edges")
         n, digest = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if not n:
+            return None
         if (n, digest) == state:
             break
         state = (n, digest)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        pair = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        edges = small.select(pair.alias("e")).select("e.u", "e.v").where("u <> v").distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
+def _matrix(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+
+
+def _bounded_pairs(batches, percent: int):
+    """Of rows (a, b, size_a, sketch_a, size_b, sketch_b) those that may link."""
+    for batch in batches:
+        a, b, size_a, size_b = (batch.column(k).to_numpy() for k in (0, 1, 2, 4))
+        sketch_a, sketch_b = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+        kinds = np.array([len(x) * 65536 + len(y) for x, y in zip(sketch_a, sketch_b, strict=True)])
+        keep = np.zeros(len(a), bool)
+        for kind in np.unique(kinds):
+            at = np.flatnonzero(kinds == kind)
+            keep[at] = may_link(size_a[at], _matrix([sketch_a[k] for k in at]), size_b[at], _matrix([sketch_b[k] for k in at]), percent)
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+
+def _open_pairs(batches, percent: int):
+    """Of sorted rows (key, block, other_block, asked, set, component, size,
+    sketch) the pairs of asked and other rows of a group that may link."""
+
+    def pairs(rows):
+        asked = [r for r in rows if r[3]]
+        by_length: dict[int, list] = {}
+        for r in rows:
+            if not r[3]:
+                by_length.setdefault(len(r[7]), []).append(r)
+        for members in by_length.values():
+            sets, parts, sizes = (np.array([m[k] for m in members]) for k in (4, 5, 6))
+            matrix = _matrix([m[7] for m in members])
+            for q in asked:
+                keep = (parts != q[5]) & may_link(q[6], _matrix([q[7]]), sizes, matrix, percent)
+                yield from ((min(q[4], s), max(q[4], s)) for s in sets[keep].tolist())
+
+    def out(found):
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    group, held, found = None, [], []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:3] != group:
+                found += pairs(held)
+                group, held = row[:3], []
+            held.append(row)
+        if found:
+            yield out(found)
+            found = []
+    if held:
+        yield out(list(pairs(held)))
+
+
 def _count_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (a, b) those that link."""
     spread = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN_OUT).cast("int").alias("salts"))
@@ -246,51 +338,66 @@ class _Linker:
 
     def __init__(self, members: DataFrame, sets: DataFrame, percent: int):
         self.members, self.sets, self.percent = members, sets, percent
-        numbers = members.select("set").distinct()
-        self.part_of = written(numbers.select("set", F.col("set").alias("component")), "components")
-        self.tested: DataFrame | None = None
+        self.part_of = members.select("set").distinct().select("set", F.col("set").alias("component"))
 
     def open_members(self) -> DataFrame:
         """Members of buckets that still hold more than one component."""
+        bucket = Window.partitionBy("key")
         placed = self.members.join(self.part_of, "set")
-        several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        return written(placed.join(several, "key"), "open-buckets")
-
-    def count(self, pairs: DataFrame) -> int:
-        """Count the untested ones of some pairs (a, b); the number of links found."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        links = written(_count_pairs(pairs, self.sets, self.percent), "links")
-        found = links.count()
-        if found:
-            names = self.part_of
-            edges = (
-                links.join(names.select(F.col("set").alias("a"), F.col("component").alias("u")), "a")
-                .join(names.select(F.col("set").alias("b"), F.col("component").alias("v")), "b")
-                .select("u", "v")
-            )
-            merged = components(edges)
+        ends = placed.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket))
+        return ends.where("lo <> hi").drop("lo", "hi")
+
+    def merge(self, pairs: DataFrame) -> bool:
+        """Count pairs (a, b) that their sketches allow; whether that merged components."""
+        links = _count_pairs(written(pairs, "pairs"), self.sets, self.percent)
+        names = self.part_of
+        edges = (
+            links.join(names.select(F.col("set").alias("a"), F.col("component").alias("u")), "a")
+            .join(names.select(F.col("set").alias("b"), F.col("component").alias("v")), "b")
+            .select("u", "v")
+        )
+        merged = components(edges)
+        if merged is not None:
             moved = names.join(merged, names["component"] == merged["node"], "left")
             self.part_of = written(moved.select("set", F.coalesce(merged["component"], names["component"]).alias("component")), "components")
-        return found
+        return merged is not None
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """Those of some pairs (a, b) that their sketches allow, each once."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        short = self.sets.select("set", "size", "sketch")
+        for side in "ab":
+            pairs = pairs.join(short.select(F.col("set").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
+        return pairs.select("a", "b", "size_a", "sketch_a", "size_b", "sketch_b").mapInArrow(lambda rows, percent=self.percent: _bounded_pairs(rows, percent), "a long, b long")
+
+    def open_pairs(self) -> DataFrame:
+        """Pairs of a bucket's members outside its largest component with
+        members of other components that may link.
+
+        A bucket is cut into blocks on both sides, and one group holds one
+        block of either.
+        """
+        left = written(self.open_members(), "open-buckets")
+        sizes = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
+        blocks = largest.select("key", "main", F.ceil(F.col("all") / CHUNK).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / CHUNK).cast("int").alias("asked_blocks"))
+        placed = left.join(blocks, "key").join(self.sets.select("set", "size", "sketch"), "set")
+        own = lambda n, seed: F.pmod(F.xxhash64("set", F.lit(seed)), n).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        row = ["set", "component", "size", "sketch"]
+        others = placed.select("key", own(F.col("blocks"), 1).alias("block"), every(F.col("asked_blocks")).alias("asked_block"), F.lit(False).alias("asked"), *row)
+        asked = placed.where("component <> main").select("key", every(F.col("blocks")).alias("block"), own(F.col("asked_blocks"), 2).alias("asked_block"), F.lit(True).alias("asked"), *row)
+        group = ["key", "block", "asked_block"]
+        return others.unionByName(asked).repartition(*group).sortWithinPartitions(*group).mapInArrow(lambda rows, percent=self.percent: _open_pairs(rows, percent), "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         for turn in range(ROUNDS):
-            left = self.open_members()
             order = [F.col("set")] if turn == 0 else [F.xxhash64("set", "key", F.lit(turn)), F.col("set")]
             row = Window.partitionBy("key").orderBy(*order)
-            beside = left.select("set", "component", F.lag("set").over(row).alias("a"), F.lag("component").over(row).alias("other"))
-            pairs = beside.where("a IS NOT NULL AND other <> component").select("a", F.col("set").alias("b"))
-            if not self.count(pairs):
+            beside = self.open_members().select("set", "component", F.lag("set").over(row).alias("a"), F.lag("component").over(row).alias("other"))
+            if not self.merge(self.bounded(beside.where("a IS NOT NULL AND other <> component").select("a", F.col("set").alias("b")))):
                 break
-        left = self.open_members()
-        sizes = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-        rest = left.join(largest, "key").where("component <> main").select("key", F.col("set").alias("a"), F.col("component").alias("own"))
-        self.count(rest.join(left, "key").where("own <> component").select("a", F.col("set").alias("b")))
+        self.merge(self.open_pairs())
         return self.part_of
 
 
@@ -306,7 +413,7 @@ def linked_sets(docs: DataFrame, *, text: str = "text", percent: int = PERCENT)
     count = min(50_000, partitions_for(spark))
     table = unique_name("shingle_sets")
     (
-        body.mapInArrow(lambda rows: _wanted_sets(rows, bitmap), "set long, segments array<array<long>>")
+        body.mapInArrow(lambda rows: _wanted_sets(rows, bitmap), "set long, size long, sketch binary, segments array<array<long>>")
         .repartition(count, "set")
         .dropDuplicates(["set"])
         .write.bucketBy(count, "set")
