@@ -8,6 +8,7 @@ memory is a fixed multiple of that (or of the longest single text).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,21 @@ from shelfwise.session import scratch_path
 SLICE_BYTES = 1 << 20
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers get the folder on their path.  That is all a local master needs; on
+    a cluster the package is installed or sent with ``--py-files`` and the
+    folder need not exist.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
@@ -52,6 +68,30 @@ def in_order(df: DataFrame, *order) -> DataFrame:
     return joined.withColumn("place", F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_row", "_part", "_offset")
 
 
+class Recent:
+    """A bounded cache of two generations: what is used again outlives what is not.
+
+    ``young`` is a plain dictionary, so a caller can look many keys up in it at
+    once and ask :meth:`get` for those it lacks.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit  # entries of one generation
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 def crc_fold(column: str, modulus: int) -> Column:
     """``crc32(column as text) mod modulus``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

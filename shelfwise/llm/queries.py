@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import decontaminate, extract, jaccard, language, mixing, neighbours, quality, rans, shards, token_counts
+from shelfwise.llm.common import reachable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
