@@ -1,0 +1,51 @@
+"""Text slices, word hashes and numbering."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from shelfwise.llm.common import byte_table, crc_fold, in_order, text_slices, window_hashes, words_of
+
+
+def test_words_are_the_runs_of_each_text():
+    rng = random.Random(1)
+    texts = ["", None, "a", " a  b ", "été Été", "x" * 5000] + ["".join(rng.choice("ab C\n\té") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    table = byte_table([9, 10, 11, 12, 13, 32])
+    seen = {}
+    for limit in (1, 50, 1 << 20):
+        for part in text_slices(pa.array(texts), limit):
+            words = words_of(part, table)
+            for k in range(len(part)):
+                lo, hi = words.first[k], words.first[k + 1]
+                got = [part.data[a:b].tobytes() for a, b in zip(words.starts[lo:hi], words.ends[lo:hi], strict=True)]
+                assert got == re.findall(rb"[^\x20\x09-\x0D]+", (texts[part.first + k] or "").encode())
+                for word, h in zip(got, words.hashes[lo:hi].tolist(), strict=True):
+                    assert seen.setdefault(word.lower(), h) == h  # the same in every place
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_slices_cover_sliced_columns():
+    column = pa.array(["zero", "one", None, "three", "four"])[1:4]
+    parts = list(text_slices(column, 4))
+    assert b"".join(p.data.tobytes() for p in parts) == b"onethree"
+    assert [p.first for p in parts][0] == 0 and parts[-1].last == 3
+
+
+def test_window_hashes_depend_on_order():
+    h = np.array([1, 2, 3, 1, 2], np.uint64)
+    assert len(set(window_hashes(h, 2).tolist())) == 3 and len(window_hashes(h, 6)) == 0
+
+
+def test_in_order_numbers_every_row(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("s"))
+    got = in_order(df, F.col("s").asc_nulls_last(), F.col("v")).collect()
+    assert sorted(r.place for r in got) == list(range(1000))
+    assert [(r.s is None, r.v) for r in sorted(got, key=lambda r: r.place)] == sorted((r.s is None, r.v) for r in got)
+
+
+def test_crc_fold_of_a_null(spark):
+    df = spark.createDataFrame([(1,), (None,)], "doc_id long")
+    assert [r[0] for r in df.select(crc_fold("doc_id", 4)).collect()] == [0x83DCEFB7 % 4, 0]

@@ -1,0 +1,77 @@
+"""The factorisation machine against its definition; held-out labels."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from shelfwise.llm import quality as qu
+from shelfwise.llm.common import text_slices
+
+LABELS = "doc_id long, quality int, toxic int, score double"
+
+
+def _features(texts):
+    part = next(text_slices(pa.array(texts)))
+    return qu.features(part, np.array([float(len(t)) for t in texts]))
+
+
+def test_linear_time_score_is_the_pairwise_sum():
+    number, weight, first = _features(["a b c a, D", "", "x " * 50, "ÉTÉ 12 %%"])
+    machine = qu.Machine(0.3)
+    rng = np.random.default_rng(1)
+    machine.w = rng.normal(0, 0.1, qu.FEATURES).astype(np.float32)
+    got = machine.score(number, weight, first)
+    for k, (lo, hi) in enumerate(zip(first, [*first[1:], len(number)], strict=True)):
+        n, x = number[lo:hi], weight[lo:hi].astype(float)
+        value = machine.bias + (machine.w[n] * x).sum()
+        value += sum((machine.v[n[i]].astype(float) @ machine.v[n[j]]) * x[i] * x[j] for i in range(len(n)) for j in range(i))
+        assert got[k] == pytest.approx(1 / (1 + np.exp(-value)), rel=1e-4)
+
+
+def test_features_of_a_text_do_not_depend_on_its_slice():
+    texts = ["one two two", "", "THREE\nlines\nlines", "4 5"]
+    number, weight, first = _features(texts)
+    ends = [*first[1:], len(number)]
+    for k, t in enumerate(texts):
+        n, w, _ = _features([t])
+        assert (number[first[k] : ends[k]] == n).all() and np.allclose(weight[first[k] : ends[k]], w)
+
+
+def test_learns_pairs():
+    """Labels that only an interaction of two words explains."""
+    rows, y = [], []
+    for k in range(400):
+        a, b = k % 2, k // 2 % 2
+        rows.append((np.array([10 + a, 20 + b]), np.ones(2, np.float32)))
+        y.append(float(a == b))
+    machine = qu.Machine()
+    machine.learn(rows, np.array(y), rounds=40)
+    first = np.arange(0, 2 * len(rows), 2)
+    score = machine.score(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), first)
+    assert ((score > 0.5) == np.array(y, bool)).all()
+
+
+def test_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = qu.held_out_quality(docs, labels).join(labels, "doc_id").collect()
+    out = [r for r in got if r.held_out]
+    assert sum(r.predicted == r.quality for r in out) >= 0.9 * len(out)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+
+
+def test_odd(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 0, 0, 1.0), (4, 1, 0, 1.0), (4, 0, 0, 1.0), (5, 1, None, 1.0), (6, None, 0, 1.0), (None, 1, 1, 1.0), (7, 5, 0, 1.0), (9, 1, 0, 1.0), (8, 0, 0, 1.0)], LABELS)
+    got = qu.held_out_quality(odd_docs, labels).collect()
+    assert len(got) == odd_docs.count() and all(0 <= r.score <= 1 for r in got)
+    none = spark.createDataFrame([], LABELS)
+    assert {r.score for r in qu.held_out_quality(odd_docs, none).collect()} == {0.5}
+    assert qu.held_out_quality(no_docs, labels).count() == 0
+
+
+def test_reruns_agree(spark, random_docs):
+    labels = random_docs.selectExpr("doc_id", "cast(doc_id % 3 > 0 as int) as quality", "0 as toxic", "0D as score")
+    one = sorted(map(tuple, qu.held_out_quality(random_docs, labels).collect()))
+    other = sorted(map(tuple, qu.held_out_quality(random_docs.repartition(5), labels.repartition(3)).collect()))
+    assert [r[0] for r in one] == [r[0] for r in other]
+    assert np.allclose([r[2] for r in one], [r[2] for r in other])
