@@ -37,55 +37,100 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import partitions_for
+from shelfwise.llm.common import Recent, partitions_for
 from shelfwise.session import scratch_path
 
 MAGIC, VERSION = b"SRNS", 1
 BITS = 18
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 SEGMENT = 1 << 21
-LANES = 1024
+LANES = 4096
 CHECK = 128
 LOWEST = np.uint64(1 << 31)
 END = 2
-CACHE = 400_000
-KEEP = 64
+CACHE = 800_000  # pieces in each of two generations
+KEEP = 64  # longer pieces are not kept
 
 _HEAD = struct.Struct("<4sHHIIQI")  # magic, version, id bytes, documents, blocks, ids, crc of the rest
 _BLOCK = struct.Struct("<IIIII")  # ids, lanes, words, checkpoints, crc of the ids
+_MARKS = ".,;:!?%$&*#|)]}"  # neither white space, letters nor digits, and in no contraction
 _CUT = re.compile(r" (?=\w)", re.ASCII)
 _ENCODERS: dict[str, Pieces] = {}
 
 
 class Pieces:
-    """Whole-text tokenisation by cached pieces."""
+    """Whole-text tokenisation by cached pieces.
+
+    The new words of a text are put one after another and encoded by the
+    library in one call; since a piece starts where a pre-token does, the ids
+    of each are found again by the bytes their tokens stand for.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.type = np.dtype("<u2") if max(names.values()) < 1 << 16 else np.dtype("<u4")
+        self.width = np.zeros(max(names.values()) + 1, np.int64)
+        for name, number in names.items():
+            self.width[number] = len(name)  # a character for each byte
+        self.known = Recent(CACHE)
+        self.tails = Recent(10_000)
+
+    def _encode_apart(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
+    def _encode_joined(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces that each follow a blank."""
+        if not pieces:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, self.type)
+        ends = np.cumsum(self.width[ids])
+        stops = np.cumsum([1 + len(p.encode()) for p in pieces])
+        cuts = np.searchsorted(ends, stops) + 1
+        if not (ends[cuts - 1] == stops).all():  # a token over a cut: never seen, but then encode one by one
+            return self._encode_apart([" " + p for p in pieces])
+        raw, size = ids.tobytes(), self.type.itemsize
+        return [raw[size * i : size * j] for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
+
+    @staticmethod
+    def _word(piece: str) -> str:
+        """The letters of "letters, then marks": the marks are a pre-token of their own."""
+        word = piece.rstrip(_MARKS)
+        return word if word.isalpha() else piece
+
+    def _tail(self, marks: str) -> bytes:
+        known = self.tails.get(marks)
+        if known is None:
+            known = self._encode_apart([marks])[0]
+            self.tails.put(marks, known)
+        return known
+
     def ids(self, text: str) -> bytes:
         """The ids of a text, little-endian."""
         pieces = _CUT.split(text)
         pieces[0] = "\0" + pieces[0]  # no blank before it; other pieces start with a word character
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            new = [p for p in dict.fromkeys(pieces) if p not in known]
-            found = dict(zip(new, self._encode([p[1:] if p is pieces[0] else " " + p for p in new]), strict=True))
-            out = b"".join(found[p] if p in found else known[p] for p in pieces)
-            if len(known) + len(found) > CACHE:
-                known.clear()
-            known.update((p, b) for p, b in found.items() if len(p) <= KEEP)
-            return out
+        parts = list(map(self.known.young.get, pieces))
+        gaps = [k for k, part in enumerate(parts) if part is None]
+        if gaps:
+            found = {p: self.known.get(p) for p in {pieces[k] for k in gaps}}
+            new = [p for p, part in found.items() if part is None and p[0] != "\0"]
+            words = {p: self._word(p) for p in new}
+            lacking = [w for w in set(words.values()) if w not in found and self.known.get(w) is None or found.get(w, b"") is None]
+            encoded = dict(zip(lacking, self._encode_joined(lacking), strict=True))
+            for p, word in words.items():
+                ids = encoded.get(word) or self.known.get(word)
+                found[p] = ids if word == p else ids + self._tail(p[len(word) :])
+            if found.get(pieces[0], b"") is None:
+                encoded[pieces[0]] = found[pieces[0]] = self._encode_apart([pieces[0][1:]])[0]
+            for p, ids in (found | encoded).items():
+                if len(p) <= KEEP:
+                    self.known.put(p, ids)
+            for k in gaps:
+                parts[k] = found[pieces[k]]
+        return b"".join(parts)
 
 
 def scaled(counts: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -249,10 +294,10 @@ def _write(batches, vocabulary: str, end: int):
 
     for batch in batches:
         kind = batch.schema.field(0).type
-        for doc_id, text, at in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-            part = at.as_py()
-            held.append(pieces.ids(text.as_py() or "") + stop)
-            names.append(doc_id.as_py())
+        doc_ids, texts, parts = (batch.column(k).to_pylist() for k in range(3))
+        for doc_id, text, part in zip(doc_ids, texts, parts, strict=True):
+            held.append(pieces.ids(text or "") + stop)
+            names.append(doc_id)
             ids += len(held[-1]) // pieces.type.itemsize
             if ids >= SEGMENT:
                 yield row()

@@ -59,7 +59,7 @@ def test_cache_is_bounded(monkeypatch):
         assert len(pieces.known.young) <= 50 and len(pieces.known.old) <= 50
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 1000, 70_000, 600_000])
+@pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 1000, 70_000, 600_000, 1_100_000])
 def test_round_trip(n):
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.geometric(0.01, n), 50_000).astype(KIND)
