@@ -300,8 +300,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", bod
     kind = picked.schema["page_id"].dataType.simpleString()
     keyed = picked.mapInArrow(_keys, f"page_id {kind}, host string, path string, hashes array<long>").where("host IS NOT NULL")
     first = written(keyed.groupBy("host", "path").agg(F.min_by("hashes", F.struct(F.col("page_id").isNull(), "page_id", "hashes")).alias("hashes")), "page-lines")
-    listed = written(in_order(first.select("host", "path"), F.col("host"), F.col("path")), "page-order")
-    known = written(listed.join(first, ["host", "path"]), "page-neighbours")
+    known = in_order(first, F.col("host"), F.col("path"))
     near = known.select("host", "path", "place")
     for side, step in (("before", 1), ("after", -1)):
         other = known.select("host", (F.col("place") + step).alias("place"), F.col("path").alias(f"path_{side}"), F.col("hashes").alias(f"hashes_{side}"))
