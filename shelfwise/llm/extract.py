@@ -263,8 +263,8 @@ def _parsed(batches):
                 batch.column(1),
                 pa.array([k[0] for k in keys], pa.string()),
                 pa.array([k[1] for k in keys], pa.string()),
-                pa.array([[t for t, _ in x] for x in lines], pa.list_(pa.string())),
-                pa.array([[m for _, m in x] for x in lines], pa.list_(pa.int8())),
+                pa.array(["\n".join(t for t, _ in x) for x in lines], pa.string()),  # no line holds a line end
+                pa.array(["".join(str(m) for _, m in x) for x in lines], pa.string()),
             ],
             ["page_id", "url", "host", "path", "lines", "marks"],
         )
@@ -281,7 +281,8 @@ def _extracted(batches):
         columns = {name: batch.column(k).to_pylist() for k, name in enumerate(batch.schema.names) if k > 1}
         texts, line_count, deleted = [], [], []
         for k in range(batch.num_rows):
-            lines = list(zip(columns["lines"][k], columns["marks"][k], strict=True))
+            marks = columns["marks"][k]
+            lines = list(zip(columns["lines"][k].split("\n"), map(int, marks), strict=True)) if marks else []
             around = [(columns["path_before"][k], columns["hashes_before"][k]), (columns["path_after"][k], columns["hashes_after"][k])]
             text, n = main_text(lines, [line_hash(t) for t, _ in lines], _nearest_first(columns["path"][k], around))
             texts.append(text)
@@ -305,7 +306,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", bod
     for side, step in (("before", 1), ("after", -1)):
         other = known.select("host", (F.col("place") + step).alias("place"), F.col("path").alias(f"path_{side}"), F.col("hashes").alias(f"hashes_{side}"))
         near = near.join(other, ["host", "place"], "left")
-    parsed = picked.mapInArrow(_parsed, f"page_id {kind}, url string, host string, path string, lines array<string>, marks array<tinyint>")
+    parsed = picked.mapInArrow(_parsed, f"page_id {kind}, url string, host string, path string, lines string, marks string")
     joined = parsed.join(near.drop("place"), ["host", "path"], "left")
     order = ["page_id", "url", "host", "path", "lines", "marks", "path_before", "hashes_before", "path_after", "hashes_after"]
     return joined.select(*order).mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars long, n_lines long, n_shared long")
