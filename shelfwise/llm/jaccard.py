@@ -1,6 +1,6 @@
 """N-gram Jaccard join by vertical partitioning.
 
-A document's set is its distinct ``SHINGLE``-word shingles; sets of Jaccard
+A document's set is its distinct shingles of ``shingle`` words; sets of Jaccard
 similarity at least ``percent`` / 100 are linked, and links make components.
 The shingles of the whole corpus have one global order, that of a 64-bit hash.
 
@@ -37,7 +37,7 @@ salted.  Components of links come from alternating star contractions, which
 only join and group (with map-side combining), over written tables.
 
 Defined results: null, empty and blank texts have the empty set, linked with
-nothing; a text of one or two words has one shingle, its whole sequence;
+nothing; a text of fewer words than a shingle has one, its whole sequence;
 repeated rows are in one component; a component without any non-null id has a
 null component id.  Sets are numbered by 64 bits of a cryptographic hash.
 """
@@ -134,12 +134,12 @@ def segment_keys(shingles: np.ndarray, classes: Classes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _number(batches, at: int, keep: list[int]):
+def _number(batches, at: int, keep: list[int], shingle: int):
     for batch in batches:
         numbers: list = []
         sizes: list = []
         for part in text_slices(batch.column(at)):
-            for s in shingle_sets(part):
+            for s in shingle_sets(part, shingle):
                 numbers.append(set_number(s))
                 sizes.append(len(s))
         yield pa.RecordBatch.from_arrays(
@@ -147,22 +147,22 @@ def _number(batches, at: int, keep: list[int]):
         )
 
 
-def numbered(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def numbered(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
     """The ``keep`` columns of ``docs`` (all by default) with ``_set`` and ``_size``."""
     keep = docs.columns if keep is None else keep
     kept = [docs.columns.index(c) for c in keep]
     at = docs.columns.index(text)
     fields = [docs.schema.fields[k] for k in kept]
     schema = T.StructType([*fields, T.StructField("_set", T.LongType()), T.StructField("_size", T.LongType())])
-    return docs.mapInArrow(lambda rows: _number(rows, at, kept), schema)
+    return docs.mapInArrow(lambda rows: _number(rows, at, kept, shingle), schema)
 
 
-def _segments(batches, percent: int):
+def _segments(batches, percent: int, shingle: int):
     classes, seen = Classes(percent), set()  # a copy gives nothing new: one per task
     for batch in batches:
         for part in text_slices(batch.column(0)):
             keys, owners = [], []
-            for s in shingle_sets(part):
+            for s in shingle_sets(part, shingle):
                 number = set_number(s)
                 if number is None or number in seen:
                     continue
@@ -173,12 +173,12 @@ def _segments(batches, percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners))], ["key", "set"])
 
 
-def _wanted_sets(batches, bitmap):
+def _wanted_sets(batches, bitmap, shingle: int):
     bits, seen = bitmap.value, set()
     for batch in batches:
         for part in text_slices(batch.column(0)):
             numbers, segments, sizes, sketches = [], [], [], []
-            for s in shingle_sets(part):
+            for s in shingle_sets(part, shingle):
                 number = set_number(s)
                 if number is None or number in seen:
                     continue
@@ -401,11 +401,11 @@ class _Linker:
         return self.part_of
 
 
-def linked_sets(docs: DataFrame, *, text: str = "text", percent: int = PERCENT) -> DataFrame:
+def linked_sets(docs: DataFrame, *, text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(set, component) of all sets that may link to another."""
     spark = docs.sparkSession
     body = docs.select(docs[text].cast("string").alias("text"))
-    keyed = body.mapInArrow(lambda rows: _segments(rows, percent), "key long, set long")
+    keyed = body.mapInArrow(lambda rows: _segments(rows, percent, shingle), "key long, set long")
     bucket = Window.partitionBy("key")
     shared = keyed.withColumn("lo", F.min("set").over(bucket)).withColumn("hi", F.max("set").over(bucket)).where("lo <> hi")
     members = written(shared.select("key", "set").distinct(), "buckets")
@@ -413,7 +413,7 @@ def linked_sets(docs: DataFrame, *, text: str = "text", percent: int = PERCENT)
     count = min(50_000, partitions_for(spark))
     table = unique_name("shingle_sets")
     (
-        body.mapInArrow(lambda rows: _wanted_sets(rows, bitmap), "set long, size long, sketch binary, segments array<array<long>>")
+        body.mapInArrow(lambda rows: _wanted_sets(rows, bitmap, shingle), "set long, size long, sketch binary, segments array<array<long>>")
         .repartition(count, "set")
         .dropDuplicates(["set"])
         .write.bucketBy(count, "set")
@@ -425,11 +425,11 @@ def linked_sets(docs: DataFrame, *, text: str = "text", percent: int = PERCENT)
         spark.sql(f"DROP TABLE {table}")
 
 
-def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def join_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = written(numbered(picked, keep=["doc_id"]), "sets-of-documents")
-    return _with_component(rows, linked_sets(picked, percent=percent)).select("doc_id", F.col("_size").alias("n_shingles"), "component_id")
+    rows = written(numbered(picked, keep=["doc_id"], shingle=shingle), "sets-of-documents")
+    return _with_component(rows, linked_sets(picked, percent=percent, shingle=shingle)).select("doc_id", F.col("_size").alias("n_shingles"), "component_id")
 
 
 def _with_component(rows: DataFrame, linked: DataFrame) -> DataFrame:
@@ -443,16 +443,16 @@ def _with_component(rows: DataFrame, linked: DataFrame) -> DataFrame:
     return joined.withColumn("component_id", F.when(F.col("_set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One document of every component, that of the smallest id, columns unchanged; empty sets all stay."""
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = written(numbered(picked, keep=["doc_id"]), "sets-of-documents")
-    linked = linked_sets(picked, percent=percent)
+    rows = written(numbered(picked, keep=["doc_id"], shingle=shingle), "sets-of-documents")
+    linked = linked_sets(picked, percent=percent, shingle=shingle)
     known = rows.where("_set IS NOT NULL").distinct()
     placed = known.join(linked, known["_set"] == linked["set"], "left").withColumn("component", F.coalesce("component", "_set"))
     first = placed.groupBy("component").agg(F.min_by(F.struct("doc_id", "_set"), F.struct(F.col("doc_id").isNull(), "doc_id", "_set")).alias("first"))
     first = written(first.select(F.col("first.doc_id").alias("_first"), F.col("first._set").alias("_first_set")), "first-of-component")
-    all_rows = numbered(docs, text=text)
+    all_rows = numbered(docs, text=text, shingle=shingle)
     chosen = all_rows.where("_set IS NOT NULL").withColumn("_k", F.col(doc_id)).dropDuplicates(["_k", "_set"])
     chosen = chosen.join(first, F.expr("_k <=> _first AND _set = _first_set"), "left_semi")
     return chosen.select(*docs.columns).unionByName(all_rows.where("_set IS NULL").select(*docs.columns))
