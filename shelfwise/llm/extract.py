@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import in_order, written
 
-FREE, BODY, BOILER = 0, 1, 2
+FREE, BODY, BOILER, NAMED = 0, 1, 2, 3
 COPY = 0.8
 
 _TAG = re.compile(
@@ -64,22 +64,45 @@ _BOILER_NAMES = set(
     "newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments respond reply replies disqus footer header masthead share sharing "
     "social related recommended widget login signup search toolbar pagination pager copyright".split()
 )
+#: Words beside which a boilerplate name still names boilerplate (share-buttons); any other makes it another name (related-work).
+_PLAIN_NAMES = set(
+    "area bar block bottom box btn button buttons container content form group inner left link links list outer panel right section thread title top wrap wrapper".split()
+)
+#: Lists of these hold article elements that are not the page's article.
+_LIST_NAMES = set("comment comments respond reply replies disqus related recommended".split())
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_BOXES = {"div", "aside", "section", "ul", "ol", "dl", "table", "figure", "span"}
 _BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "alertdialog", "menu", "menubar"}
 
 
+def _boiler_name(whole: str) -> set[str]:
+    """The boilerplate names in a class or id, if nothing else is in it."""
+    parts = set(_NAMES.findall(whole))
+    found = parts & _BOILER_NAMES
+    return found if parts <= found | _PLAIN_NAMES else set()
+
+
 def _mark(name: str, attributes: str, in_body: bool) -> int:
-    """What an element's tag and attributes say about the text in it."""
+    """What an element's tag and attributes say about the text in it.
+
+    NAMED is boilerplate by a class or id alone, which does not hold for an
+    article in it.
+    """
     if name in _BOILER_TAGS and not (name == "header" and in_body):
         return BOILER
     if "=" in attributes or "hidden" in attributes:
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
         if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in _BOILER_ROLES:
             return BOILER
-        names = set(_NAMES.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-        if name not in ("html", "body") and names & (_BOILER_NAMES - {"header"} if in_body else _BOILER_NAMES):
-            return BOILER
-        if found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody":
+        if name in _BODY_TAGS or found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody":
             return BODY
+        if name not in ("html", "body") and (name in _BOXES or not in_body):
+            whole = found.get("class", "").split()
+            if not in_body and name not in _HEADINGS:  # ids in an article and of headings are anchors
+                whole += found.get("id", "").split()
+            named = set().union(*map(_boiler_name, whole)) - ({"header"} if in_body else set())
+            if named:
+                return BOILER if named & _LIST_NAMES else NAMED
     return BODY if name in _BODY_TAGS else FREE
 
 
@@ -91,19 +114,25 @@ class _Reader:
         self.run: list[str] = []
         self.open: list[tuple[str, int]] = []
         self.count: dict[str, int] = {}
-        self.depth = [0, 0, 0]
+        self.depth = [0, 0, 0, 0]
+        self.named = [0]  # NAMED elements around every open BODY one
+
+    def in_boiler(self) -> bool:
+        return self.depth[BOILER] > 0 or self.depth[NAMED] > self.named[-1]
 
     def end_line(self) -> None:
         text = " ".join(html.unescape("".join(self.run)).split())
         self.run = []
         if text:
-            self.lines.append((text, BOILER if self.depth[BOILER] else BODY if self.depth[BODY] else FREE))
+            self.lines.append((text, BOILER if self.in_boiler() else BODY if self.depth[BODY] else FREE))
 
     def push(self, name: str, attributes: str) -> None:
         mark = _mark(name, attributes, self.depth[BODY] > 0)
         self.open.append((name, mark))
         self.count[name] = self.count.get(name, 0) + 1
         self.depth[mark] += 1
+        if mark == BODY:
+            self.named.append(self.depth[NAMED])
 
     def pop(self, name: str) -> None:
         if self.count.get(name):
@@ -111,6 +140,8 @@ class _Reader:
                 last, mark = self.open.pop()
                 self.count[last] -= 1
                 self.depth[mark] -= 1
+                if mark == BODY:
+                    self.named.pop()
                 if last == name:
                     return
 
@@ -146,14 +177,13 @@ def read_lines(page: str | None) -> list[tuple[str, int]]:
         if name not in _INLINE:
             reader.end_line()
         if closing:
-            marked = reader.depth[BOILER]
-            if marked and name in _INLINE:
+            if reader.in_boiler() and name in _INLINE:
                 reader.end_line()
             reader.pop(name)
         elif name not in _VOID and not attributes.rstrip().endswith("/"):
             if name in _IMPLIED:
                 reader.close_implied(name)
-            if name in _INLINE and _mark(name, attributes, reader.depth[BODY] > 0) == BOILER:
+            if name in _INLINE and _mark(name, attributes, reader.depth[BODY] > 0) in (BOILER, NAMED):
                 reader.end_line()
             reader.push(name, attributes)
     reader.run.append(page[at:])
