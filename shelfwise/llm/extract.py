@@ -3,8 +3,8 @@
 A page is read into lines, one per block element, each with the part of the
 page it stands in: article body, marked boilerplate (menus, headers, footers,
 sidebars, notices, adverts, forms, comments) or neither.  Pages are put in
-order of URL path within their host; a page is paired with the neighbour in
-that order whose path shares the longer prefix.  The lines of the pair are
+order of URL path, then query, within their host; a page is paired with the
+neighbour in that order whose path and query share the longer prefix.  The lines of the pair are
 aligned by longest common subsequence and the shared ones deleted: what two
 pages of a site have in common, in the same order, is its template.
 
@@ -16,16 +16,16 @@ After differencing, what is left of the marked boilerplate goes too (menus that
 differ from page to page are not shared), and if the page has an article
 element, only its lines stay.
 
-How the work is spread.  Distinct (host, path) keys are put in order by a range
+How the work is spread.  Distinct (host, path with query) keys are put in order by a range
 shuffle and numbered, so a host that holds a third of all pages is cut like any
 other; neighbours are found by joins on that number, and only line hashes of
-one page per path travel to them.  Page texts are shuffled once, to meet their
+one page per key travel to them.  Page texts are shuffled once, to meet their
 neighbours' hashes; that join's right side is unique, so Spark can split a hot
 path.
 
 Defined results: null or empty html gives an empty text; a page without a URL
 or alone on its host has no neighbour and is judged by its structure; repeated
-rows each give a row; pages with equal host and path have one representative,
+rows each give a row; pages with equal host, path and query have one representative,
 that of the smallest page id (a null id only if there is no other).
 """
 
@@ -192,14 +192,18 @@ def read_lines(page: str | None) -> list[tuple[str, int]]:
 
 
 def url_key(url: str | None) -> tuple[str | None, str]:
-    """(host, path) of a URL; the path without query, fragment, ending and last slash."""
+    """(host, path) of a URL; the path without fragment, ending and last slash, and the query after a NUL.
+
+    So keys in order are in order of path, then query, and a page's longest
+    common prefixes are with the pages of its own path.
+    """
     try:
         parts = urlsplit((url or "").strip())
         host = (parts.hostname or "").lower()
     except ValueError:
         return None, ""
     path = re.sub(r"\.[a-z]{3,5}$", "", parts.path.rstrip("/"))
-    return host or None, path
+    return host or None, f"{path}\0{parts.query}" if parts.query else path
 
 
 def line_hash(line: str) -> int:

@@ -4,7 +4,7 @@ import pytest
 
 from shelfwise.llm import extract as ex
 
-from .test_extract import _text
+from .test_extract import PAGES, _page, _text
 
 
 @pytest.mark.parametrize(
@@ -24,3 +24,15 @@ from .test_extract import _text
 )
 def test_names_drop_no_article_text(page, want):
     assert _text(page) == want
+
+
+def _extract(spark, pages):
+    rows = [(k, url, page, "c", "c", 1) for k, (url, page) in enumerate(pages)]
+    return [r.text for r in ex.extract(spark.createDataFrame(rows, PAGES).repartition(3)).orderBy("page_id").collect()]
+
+
+def test_pages_of_one_path_are_paired(spark):
+    tale = "told at more length than its template"
+    pages = [(f"http://one.org/index.php?id={k}", _page([f"story {k} {tale}"])) for k in range(5)]
+    other = [("http://two.org/a/b", "<p>Other layout</p>"), ("http://two.org/a/c?id=1", _page([f"1 {tale}"])), ("http://two.org/a/c?id=2", _page([f"2 {tale}"])), ("http://two.org/a/d", "<p>End</p>")]
+    assert _extract(spark, pages + other) == [f"story {k} {tale}" for k in range(5)] + ["Other layout", f"1 {tale}", f"2 {tale}", "End"]
