@@ -10,8 +10,11 @@ pages of a site have in common, in the same order, is its template.
 
 Two limits keep article text whole.  Lines inside a page's own article element
 are never deleted as shared, since an article may quote or repeat another
-page's; and a neighbour that shares almost all unmarked text is a copy of the
-page and says nothing about the template, so the other neighbour is asked.
+page's; and a neighbour beside which nothing unmarked is left is a copy of the
+page and says nothing about the template, so the next one is asked.  One that
+shares almost all unmarked text is a near copy or has the same large template:
+what the other neighbour shares too is deleted, or, if that one shares nothing,
+what the first does.
 After differencing, what is left of the marked boilerplate goes too (menus that
 differ from page to page are not shared), and if the page has an article
 element, only its lines stay.
@@ -260,14 +263,15 @@ def shared_lines(a: list[int], b: list[int]) -> list[bool]:
 def main_text(lines: list[tuple[str, int]], hashes: list[int], neighbours: list[list[int]]) -> tuple[str, int]:
     """(text, number of lines deleted as shared) given the neighbours' line hashes, nearest first."""
     shared = [False] * len(lines)
-    free = sum(len(t) for t, mark in lines if mark == FREE)
-    for other in neighbours:
-        flags = shared_lines(hashes, other)
-        same = sum(len(t) for (t, mark), s in zip(lines, flags, strict=True) if s and mark == FREE)
-        if free and same >= COPY * free and any(mark == FREE for _, mark in lines) and not any(mark == BODY for _, mark in lines):
-            continue
-        shared = flags
-        break
+    own = [k for k, (_, mark) in enumerate(lines) if mark != BOILER]
+    views = [shared_lines(hashes, other) for other in neighbours]
+    views = [flags for flags in views if not own or not all(flags[k] for k in own)]  # a copy leaves nothing
+    if views:
+        shared = views[0]
+        size = sum(len(lines[k][0]) for k in own)
+        same = sum(len(lines[k][0]) for k in own if shared[k])
+        if same >= COPY * size and all(lines[k][1] == FREE or shared[k] for k in own) and any(any(flags[k] for k in own) for flags in views[1:]):
+            shared = [all(x) for x in zip(*views, strict=True)]
     left = [(t, mark) for (t, mark), s in zip(lines, shared, strict=True) if mark == BODY or (mark == FREE and not s)]
     if any(mark == BODY for _, mark in left):
         left = [x for x in left if x[1] == BODY]
@@ -279,10 +283,12 @@ def _keys(batches):
     for batch in batches:
         page_ids, urls, pages = (batch.column(k).to_pylist() for k in range(3))
         keys = [url_key(u) for u in urls]
-        hashes = [[line_hash(t) for t, _ in read_lines(p)] for p in pages]
+        lines = [read_lines(p) for p in pages]
+        hashes = [[line_hash(t) for t, _ in x] for x in lines]
+        content = [line_hash("\n".join(t for t, mark in x if mark != BOILER)) for x in lines]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(page_ids, batch.schema.field(0).type), pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(hashes, pa.list_(pa.int64()))],
-            ["page_id", "host", "path", "hashes"],
+            [pa.array(page_ids, batch.schema.field(0).type), pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(content, pa.int64())],
+            ["page_id", "host", "path", "hashes", "content"],
         )
 
 
@@ -329,18 +335,35 @@ def _extracted(batches):
         )
 
 
+def _neighbours(known: DataFrame) -> DataFrame:
+    """Per (host, path) the nearest keys before and after it whose unmarked lines are not the same as its own.
+
+    Keys of equal lines at adjacent places are one run, whose neighbours are
+    the key before its first and the key after its last.
+    """
+    places = known.select("host", "place", "content")
+    last = places.select("host", (F.col("place") + 1).alias("place"), F.col("content").alias("content_before"))
+    starts = places.join(last, ["host", "place"], "left").where("content_before IS NULL OR content <> content_before").select("host", F.col("place").alias("start"))
+    runs = written(in_order(starts, F.col("start")).withColumnRenamed("place", "run"), "page-runs")
+    following = runs.select((F.col("run") - 1).alias("run"), F.col("start").alias("next"), F.col("host").alias("next_host"))
+    spans = runs.join(following, "run", "left").withColumn("next", F.coalesce("next", F.lit(known.count())))
+    for side, place in (("before", F.col("start") - 1), ("after", F.col("next"))):
+        other = known.select("host", F.col("place").alias(f"place_{side}"), F.col("path").alias(f"path_{side}"), F.col("hashes").alias(f"hashes_{side}"))
+        spans = spans.withColumn(f"place_{side}", place).join(other, ["host", f"place_{side}"], "left")
+    found = ["path_before", "hashes_before", "path_after", "hashes_after"]
+    each = spans.select("host", F.explode(F.sequence("start", F.col("next") - 1)).alias("place"), *found)
+    return known.select("host", "path", "place").join(each, ["host", "place"]).select("host", "path", *found)
+
+
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
     """Per page: page_id, url, text, n_chars, its number of lines and of those deleted as shared."""
     picked = pages.select(pages[page_id].alias("page_id"), pages[url].cast("string").alias("url"), pages[body].cast("string").alias("html"))
     kind = picked.schema["page_id"].dataType.simpleString()
-    keyed = picked.mapInArrow(_keys, f"page_id {kind}, host string, path string, hashes array<long>").where("host IS NOT NULL")
-    first = written(keyed.groupBy("host", "path").agg(F.min_by("hashes", F.struct(F.col("page_id").isNull(), "page_id", "hashes")).alias("hashes")), "page-lines")
-    known = in_order(first, F.col("host"), F.col("path"))
-    near = known.select("host", "path", "place")
-    for side, step in (("before", 1), ("after", -1)):
-        other = known.select("host", (F.col("place") + step).alias("place"), F.col("path").alias(f"path_{side}"), F.col("hashes").alias(f"hashes_{side}"))
-        near = near.join(other, ["host", "place"], "left")
+    keyed = picked.mapInArrow(_keys, f"page_id {kind}, host string, path string, hashes array<long>, content long").where("host IS NOT NULL")
+    chosen = F.min_by(F.struct("hashes", "content"), F.struct(F.col("page_id").isNull(), "page_id", "hashes")).alias("page")
+    first = written(keyed.groupBy("host", "path").agg(chosen).select("host", "path", "page.hashes", "page.content"), "page-lines")
+    near = _neighbours(written(in_order(first, F.col("host"), F.col("path")), "page-places"))
     parsed = picked.mapInArrow(_parsed, f"page_id {kind}, url string, host string, path string, lines string, marks string")
-    joined = parsed.join(near.drop("place"), ["host", "path"], "left")
+    joined = parsed.join(near, ["host", "path"], "left")
     order = ["page_id", "url", "host", "path", "lines", "marks", "path_before", "hashes_before", "path_after", "hashes_after"]
     return joined.select(*order).mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars long, n_lines long, n_shared long")

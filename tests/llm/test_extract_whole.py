@@ -36,3 +36,23 @@ def test_pages_of_one_path_are_paired(spark):
     pages = [(f"http://one.org/index.php?id={k}", _page([f"story {k} {tale}"])) for k in range(5)]
     other = [("http://two.org/a/b", "<p>Other layout</p>"), ("http://two.org/a/c?id=1", _page([f"1 {tale}"])), ("http://two.org/a/c?id=2", _page([f"2 {tale}"])), ("http://two.org/a/d", "<p>End</p>")]
     assert _extract(spark, pages + other) == [f"story {k} {tale}" for k in range(5)] + ["Other layout", f"1 {tale}", f"2 {tale}", "End"]
+
+
+def test_a_short_article_in_a_large_template():
+    top = "template " * 200
+    one, two, three = (_page([f"short story {k}"], top=top) for k in range(3))
+    assert _text(one, two) == _text(one, two, three) == "short story 0"
+    assert _text(one, two, "<p>Another layout</p>") == "short story 0"
+
+
+def test_a_near_copy_is_not_the_template():
+    story = "the long story " * 40
+    one, near, other = _page([story, "seen 3 times"]), _page([story, "seen 4 times"]), _page(["another story " * 40])
+    assert _text(one, near, other) == f"{story.strip()}\n\nseen 3 times"
+
+
+def test_runs_of_copies_find_the_next_page(spark):
+    copies = [(f"http://c.org/a/{k}", f"<nav>{k}</nav>" + _page(["one story, copied"])) for k in range(5)]
+    other = [("http://c.org/b/1", _page(["another one"])), ("http://d.org/a", _page(["alone"])), ("http://d.org/b", _page(["alone"]))]
+    same = "Top line\n\nMenu A\n\nalone\n\nFoot line"
+    assert _extract(spark, copies + other) == ["one story, copied"] * 5 + ["another one", same, same]
