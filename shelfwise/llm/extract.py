@@ -16,8 +16,8 @@ shares almost all unmarked text is a near copy or has the same large template:
 what the other neighbour shares too is deleted, or, if that one shares nothing,
 what the first does.
 After differencing, what is left of the marked boilerplate goes too (menus that
-differ from page to page are not shared), and if the page has an article
-element, only its lines stay.
+differ from page to page are not shared), and if an article or main element holds
+most of the rest (or no neighbour is known), only its lines stay.
 
 How the work is spread.  Distinct (host, path with query) keys are put in order by a range
 shuffle and numbered, so a host that holds a third of all pages is cut like any
@@ -272,11 +272,12 @@ def main_text(lines: list[tuple[str, int]], hashes: list[int], neighbours: list[
         same = sum(len(lines[k][0]) for k in own if shared[k])
         if same >= COPY * size and all(lines[k][1] == FREE or shared[k] for k in own) and any(any(flags[k] for k in own) for flags in views[1:]):
             shared = [all(x) for x in zip(*views, strict=True)]
-    left = [(t, mark) for (t, mark), s in zip(lines, shared, strict=True) if mark == BODY or (mark == FREE and not s)]
-    if any(mark == BODY for _, mark in left):
+    gone = [s and mark != BODY for (_, mark), s in zip(lines, shared, strict=True)]
+    left = [x for x, g in zip(lines, gone, strict=True) if not g and x[1] != BOILER]
+    in_body, outside = (sum(len(t) for t, mark in left if mark == kind) for kind in (BODY, FREE))
+    if in_body and (not views or in_body >= outside):
         left = [x for x in left if x[1] == BODY]
-    deleted = sum(s and mark != BODY for (_, mark), s in zip(lines, shared, strict=True))
-    return "\n\n".join(t for t, _ in left), deleted
+    return "\n\n".join(t for t, _ in left), sum(gone)
 
 
 def _keys(batches):

@@ -56,3 +56,8 @@ def test_runs_of_copies_find_the_next_page(spark):
     other = [("http://c.org/b/1", _page(["another one"])), ("http://d.org/a", _page(["alone"])), ("http://d.org/b", _page(["alone"]))]
     same = "Top line\n\nMenu A\n\nalone\n\nFoot line"
     assert _extract(spark, copies + other) == ["one story, copied"] * 5 + ["another one", same, same]
+
+
+def test_teasers_are_not_the_story():
+    one, two = (f"<div>Top</div><div><p>{f'story {k} at length ' * 9}</p></div><article>teaser {k}</article><article>card {k}</article>" for k in range(2))
+    assert _text(one, two) == f"{('story 0 at length ' * 9).strip()}\n\nteaser 0\n\ncard 0"
