@@ -12,10 +12,11 @@ its last ``ORDER`` predecessors alone.  Each tree is therefore laid out as a
 table of the lengths of all ``ALPHABET ** (ORDER + 1)`` strings, and scoring a
 whole text is one table look-up per byte and language, summed exactly.
 
-The alphabet: letters without case, blanks and control characters as one
-symbol, digits as one, the ``ALPHABET - 1`` most frequent of these bytes as
-themselves, all others as one symbol (whose ``log2`` of members is the same for
-every language and left out).
+The alphabet: letters without case, blanks and control characters as one byte,
+digits as one.  Per language the ``ALPHABET - 1`` most frequent of these bytes
+are symbols of their own and all others one symbol, after which an escape codes
+which byte it was, from its counts in the language; so every byte has its code
+length in every language, whatever the script.
 
 Bounds.  Trees are fitted on at most about ``sample`` labelled texts per
 language (a hash decides which, so it is the same sample on every cluster).
@@ -51,12 +52,39 @@ _FOLD[48:58] = 48
 
 
 def _histogram(batches):
-    total = np.zeros(256, np.int64)
+    total: dict[str, np.ndarray] = {}
     for batch in batches:
+        names = np.array(batch.column(1).to_pylist(), dtype=object)
         for part in text_slices(batch.column(0)):
-            total += np.bincount(_FOLD[part.data], minlength=256)
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], ["byte", "n"])
+            langs = names[part.first : part.last]
+            owner = np.repeat(np.arange(len(langs)), np.diff(part.offsets))
+            for lang in set(langs):
+                total[lang] = total.get(lang, 0) + np.bincount(_FOLD[part.data[langs[owner] == lang]], minlength=256)
+    for lang, n in total.items():
+        seen = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64())], ["lang", "byte", "n"])
+
+
+def alphabet(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the counts of folded bytes in a language: the symbol of every byte,
+    and the bits that tell which byte an ``ALPHABET - 1`` stands for."""
+    ranked = sorted(np.flatnonzero(counts).tolist(), key=lambda b: (b != 32, -counts[b], b))[: ALPHABET - 1]
+    own = np.full(256, ALPHABET - 1, np.int32)
+    own[32] = 0
+    for k, b in enumerate(ranked):
+        own[b] = k
+    rare = np.zeros(256, bool)
+    rare[np.unique(_FOLD)] = True
+    rare &= own == ALPHABET - 1
+    c = np.where(rare, counts, 0)
+    total, kinds = c.sum(), (c > 0).sum()
+    bits = np.zeros(256)
+    if rare.any():
+        unseen = np.log2(max(1, rare.sum()))
+        escaped = unseen - np.log2(kinds / (total + kinds)) if total else unseen
+        bits[rare] = escaped
+        bits[c > 0] = -np.log2(c[c > 0] / (total + kinds))
+    return own[_FOLD], bits[_FOLD].astype(np.float32)
 
 
 def strings(part: Slice, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +101,14 @@ def strings(part: Slice, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return number[at], part.offsets[:-1]
 
 
-def _occurrences(batches, symbols: np.ndarray):
+def _occurrences(batches, symbols: dict[str, np.ndarray]):
     for batch in batches:
         names = np.array(batch.column(1).to_pylist(), dtype=object)
         for part in text_slices(batch.column(0)):
-            number, first = strings(part, symbols)
             langs = names[part.first : part.last]
             owner = np.repeat(np.arange(len(langs)), np.diff(part.offsets))
             for lang in sorted(set(langs)):
+                number, _ = strings(part, symbols[lang])
                 found, n = np.unique(number[langs[owner] == lang], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int32()), pa.array(n, pa.int64())], ["lang", "string", "n"])
 
@@ -102,12 +130,12 @@ def code_lengths(strings_seen: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Symbols of bytes, language names in order, one table of code lengths each."""
+    """Language names in order; of each the symbols of bytes, the bits of its
+    rare bytes and a table of code lengths."""
 
-    def __init__(self, symbols: np.ndarray, tables: dict[str, np.ndarray]):
-        self.symbols = symbols
-        self.languages = sorted(tables)
-        self.tables = [tables[x] for x in self.languages]
+    def __init__(self, parts: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        self.languages = sorted(parts)
+        self.parts = [parts[x] for x in self.languages]
 
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
@@ -116,33 +144,34 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(1 << 30)
     chosen = written(usable.join(sizes, "lang").where(place < F.lit(float(sample)) / F.col("n")).select("text", "lang"), "language-sample")
-    histogram = chosen.select("text").mapInArrow(_histogram, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    ranked = sorted(histogram, key=lambda r: (r["byte"] != 32, -r["n"], r["byte"]))
-    own = np.full(256, ALPHABET - 1, np.int32)
-    for k, row in enumerate(ranked[: ALPHABET - 1]):
-        own[row["byte"]] = k
-    symbols = own[_FOLD]
+    histogram = chosen.mapInArrow(_histogram, "lang string, byte int, n long").groupBy("lang", "byte").agg(F.sum("n").alias("n")).toPandas()
+    letters = {}
+    for name, part in histogram.groupby("lang"):
+        counts = np.zeros(256, np.int64)
+        counts[part["byte"].to_numpy()] = part["n"].to_numpy()
+        letters[name] = alphabet(counts)
+    symbols = {name: own for name, (own, _) in letters.items()}
     seen = (
         chosen.mapInArrow(lambda rows: _occurrences(rows, symbols), "lang string, string int, n long")
         .groupBy("lang", "string")
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    return Model(symbols, {name: code_lengths(part["string"].to_numpy(), part["n"].to_numpy()) for name, part in seen.groupby("lang")})
+    return Model({name: (*letters[name], code_lengths(part["string"].to_numpy(), part["n"].to_numpy())) for name, part in seen.groupby("lang")})
 
 
 def _score(batches, model, text_at: int, drop: bool):
     held: Model = model.value
     for batch in batches:
-        bits = np.zeros((batch.num_rows, len(held.tables)))
+        bits = np.zeros((batch.num_rows, len(held.parts)))
         for part in text_slices(batch.column(text_at)):
-            number, first = strings(part, held.symbols)
             full = np.diff(part.offsets) > 0
             if not full.any():
                 continue
-            for k, table in enumerate(held.tables):
-                bits[part.first : part.last, k][full] = np.add.reduceat(table[number], first[full], dtype=np.float64)
-        rows = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(held.tables)), pa.array(bits.ravel()))
+            for k, (symbols, rare, table) in enumerate(held.parts):
+                number, first = strings(part, symbols)
+                bits[part.first : part.last, k][full] = np.add.reduceat(table[number] + rare[part.data], first[full], dtype=np.float64)
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(held.parts)), pa.array(bits.ravel()))
         earlier = batch.schema.get_field_index("_bits")
         if earlier >= 0:
             rows = pa.array([[*a, *b] for a, b in zip(batch.column(earlier).to_pylist(), rows.to_pylist(), strict=True)], pa.list_(pa.float64()))
@@ -161,10 +190,10 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bo
     body = docs[text].cast("string")
     scored = docs.withColumn("_letters", F.coalesce(body.rlike(r"\p{L}"), F.lit(False)))
     at = scored.columns.index(text)
-    blocks = [(model.languages[k : k + BLOCK], model.tables[k : k + BLOCK]) for k in range(0, len(model.languages), BLOCK)]
-    for k, (names, tables) in enumerate(blocks):
+    blocks = [(model.languages[k : k + BLOCK], model.parts[k : k + BLOCK]) for k in range(0, len(model.languages), BLOCK)]
+    for k, (names, parts) in enumerate(blocks):
         last = k + 1 == len(blocks)
-        held = spark.sparkContext.broadcast(Model(model.symbols, dict(zip(names, tables, strict=True))))
+        held = spark.sparkContext.broadcast(Model(dict(zip(names, parts, strict=True))))
         drop = last and not keep_text
         fields = [f for f in scored.schema.fields if f.name != "_bits" and not (drop and f.name == text)]
         schema = T.StructType([*fields, T.StructField("_bits", T.ArrayType(T.DoubleType()))])
