@@ -18,8 +18,9 @@ are symbols of their own and all others one symbol, after which an escape codes
 which byte it was, from its counts in the language; so every byte has its code
 length in every language, whatever the script.
 
-Bounds.  Trees are fitted on at most about ``sample`` labelled texts per
-language (a hash decides which, so it is the same sample on every cluster).
+Bounds.  Trees are fitted on at most ``sample`` distinct labelled texts per
+language, those of the smallest hashes, so it is the same sample on every
+cluster, copies weigh nothing and every language with a text is learned.
 One table takes 10 MB; ``BLOCK`` languages are broadcast at a time, and more
 languages are scored in further passes over a written table.
 
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,9 +142,15 @@ class Model:
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """Fit on a bounded sample of ``docs``: all rows given are training rows."""
     usable = docs.select(docs[text].cast("string").alias("text"), docs[lang].cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(1 << 30)
-    chosen = written(usable.join(sizes, "lang").where(place < F.lit(float(sample)) / F.col("n")).select("text", "lang"), "language-sample")
+    hashed = usable.withColumn("hash", F.xxhash64("text"))
+    distinct = hashed.select("lang", "hash").distinct()
+    sizes = distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = F.pmod("hash", F.lit(1 << 30)) / F.lit(1 << 30)
+    near = place < F.lit(2.0 * sample + 100) / F.col("n")  # a few more than the sample, however large the language
+    order = Window.partitionBy("lang").orderBy(place, "hash")
+    taken = distinct.join(sizes, "lang").where(near).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample).select("lang", "hash")
+    chosen = hashed.join(F.broadcast(written(taken, "language-hashes")), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    chosen = written(chosen.select("text", "lang"), "language-sample")
     histogram = chosen.mapInArrow(_histogram, "lang string, byte int, n long").groupBy("lang", "byte").agg(F.sum("n").alias("n")).toPandas()
     letters = {}
     for name, part in histogram.groupby("lang"):

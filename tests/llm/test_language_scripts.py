@@ -45,3 +45,14 @@ def test_few_bytes(seen):
     counts[seen] = 5
     symbols, bits = ln.alphabet(counts)
     assert symbols[32] == 0 and np.isfinite(bits).all()
+
+
+def test_copies_neither_fill_nor_empty_the_sample(spark):
+    rows = [(f"few {k % 2}", f"l{j}") for j in range(6) for k in range(300)]  # two texts, 300 rows each
+    rows += [(f"own text {k}", "many") for k in range(200)] + [("the copied one", "many")] * 200
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = ln.fit(docs, sample=20)
+    assert model.languages == [*(f"l{j}" for j in range(6)), "many"]
+    again = ln.fit(docs.dropDuplicates().repartition(3), sample=20)
+    for one, other in zip(model.parts, again.parts, strict=True):
+        assert all((a == b).all() for a, b in zip(one, other, strict=True))
