@@ -31,9 +31,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: every document as often as the mix takes it."""
+    """Operator 6: every document as often as the mix takes it, whole."""
     reachable(spark)
-    return mixing.mix(docs)
+    return mixing.mix(docs, whole=True)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

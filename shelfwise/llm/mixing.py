@@ -46,6 +46,7 @@ from shelfwise.llm.common import in_order, written
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = 2000
 FAN_IN = 64
+SEED = 17
 WEIGHTS = (5, 2, 1)
 KEY = ["doc_id", "source", "size", "text_hash"]
 _UNITS = "doc_id {id}, source string, size long, text_hash long, times long, whole long, extra long, part long, p double, node long, leaf long"
@@ -131,7 +132,7 @@ def _round(units: DataFrame, leaves: int, id_type: str, seed: int) -> DataFrame:
         width, level = math.ceil(width / FAN_IN), level + 1
 
 
-def mixture(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 17, **options) -> DataFrame:
+def mixture(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, **options) -> DataFrame:
     """Per distinct document (id, source, words, text): ``times`` it occurs,
     whole ``copies`` taken over all its occurrences, words of one more copy
     taken in ``part``, source_size and target."""
@@ -182,15 +183,21 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.col("copies").cast("int").alias("copies"), F.col("part").cast("long").alias("part"))
 
 
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+def mix(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, whole: bool = False, **options) -> DataFrame:
     """The mixed corpus: every document as often as it is taken, columns unchanged.
 
     Rows equal in id, source and text are one document here; its other
     columns are those of one of them.  The document a source takes in part
-    (at most one) comes with its first words, joined by blanks.
+    (at most one) comes with its first words, joined by blanks; if ``whole``, it
+is taken whole or not at all by a seeded draw with the same expected words.
     """
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    mixed = mixture(docs, doc_id=doc_id, source=source, text=text, **options).where("copies > 0 OR part > 0")
+    mixed = mixture(docs, doc_id=doc_id, source=source, text=text, seed=seed, **options)
+    if whole:
+        draw = F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
+        more = F.when(draw * F.col("size") < F.col("part"), 1).otherwise(0)
+        mixed = mixed.withColumn("copies", F.col("copies") + more).withColumn("part", F.lit(0).cast("long"))
+    mixed = mixed.where("copies > 0 OR part > 0")
     words = F.when(F.col("part") > 0, F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")), F.array("part")))
     words = F.coalesce(words, F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")))
     mixed = mixed.select(
