@@ -31,13 +31,16 @@ COLUMNS = {
     "op8": {"doc_id", "n_shingles", "component_id"},
     "op9": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op10": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op11": {"doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"},
+    "op12": {"conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"},
+    "op13": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
 }
 TYPES = {"score": "double", "target": "double", "rank": "int", "predicted": "int", "shard": "int", "grown_shard": "int"}
 
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted({n.split("_")[0] for n in names}) == sorted(COLUMNS) and len(names) == 10
+    assert sorted({n.split("_")[0] for n in names}) == sorted(COLUMNS) and len(names) == 13
     assert "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
@@ -50,14 +53,14 @@ def test_schema(spark, name):
     for column, kind in kinds.items():
         if column in TYPES:
             assert kind == TYPES[column], column
-        elif column in ("doc_id", "vec_id", "query_id", "page_id", "size", "taken", "source_size", "start", "slot", "text_crc32", "component_id") or column.startswith(("n_", "ids_")):
+        elif column in ("doc_id", "vec_id", "query_id", "page_id", "size", "taken", "source_size", "start", "slot", "text_crc32", "component_id", "n", "length", "offset", "depth", "conv_id", "saved_tokens", "doc_tokens", "sequence_id") or column.startswith(("n_", "ids_")):
             assert kind == "bigint", column
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from '{SF001}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF001)
     want = con.execute(queries.ORACLE_SQL[name])
