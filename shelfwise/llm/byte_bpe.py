@@ -49,13 +49,13 @@ class RankEncoder:
         self.type = np.dtype("<u2") if max(names.values()) < 1 << 16 else np.dtype("<u4")
         self.seen = 0
 
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of a text."""
-        found = self.merges.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype(self.type)
+    def ids(self, text: str) -> bytes:
+        """The ids of a text, little-endian."""
+        found = self.merges.encode_to_numpy(text, allowed_special="all", disallowed_special=())
         if self.seen % AUDIT == 0 and found.tolist() != self.library.encode(text, add_special_tokens=False).ids:
             raise ValueError("the two encodings of a text differ")
         self.seen += 1
-        return found
+        return found.astype(self.type).tobytes()
 
 
 def has_ranks(vocabulary: str) -> bool:

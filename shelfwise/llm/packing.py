@@ -17,9 +17,10 @@ histogram of rests decides how they are combined:
 
 The plan is a table of rank ranges per length: its size depends on the number of
 lengths, not of documents, so it is solved on the driver and sent to the tasks.
-Documents get their rank within a length from one range shuffle by (length, row):
-task offsets are summed from a row per task, so a length that a third of all
-documents have is spread over as many tasks as its rows need.
+Documents get their rank within a length from one range shuffle of (length, row),
+without their ids: task offsets are summed from a row per task, so a length that a
+third of all documents have is spread over as many tasks as its rows need.  The
+ids are written once and moved once, to be joined with the ranks.
 
 Defined results: a null or empty text is the end id alone; rows of one id are
 separate documents; a null id stays null; sequences shorter than a window are to
@@ -186,24 +187,29 @@ class Places:
 
 
 def _tokenise(batches, vocabulary: str, end: int, window: int):
-    coder = encoder(vocabulary)
-    stop = np.array([end], coder.type)
+    from pyspark import TaskContext
+
+    coder, row = encoder(vocabulary), TaskContext.get().partitionId() << 40
+    stop = np.array([end], coder.type).tobytes()
 
     def out(names, held, kind):
         sizes = np.array([len(h) for h in held], np.int64) // coder.type.itemsize
-        return pa.RecordBatch.from_arrays([pa.array(names, kind), pa.array(sizes), pa.array(sizes % window), pa.array(held, pa.binary())], ["doc_id", "n", "rest", "ids"])
+        columns = [pa.array(names, kind), pa.array(row + np.arange(len(held))), pa.array(sizes), pa.array(sizes % window), pa.array(held, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n", "rest", "ids"])
 
     for batch in batches:
         names, held, size = [], [], 0
         for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             names.append(doc_id.as_py())
-            held.append(np.concatenate([coder.ids(text.as_py() or ""), stop]).tobytes())
+            held.append(coder.ids(text.as_py() or "") + stop)
             size += len(held[-1])
             if size >= FLUSH:
                 yield out(names, held, batch.column(0).type)
+                row += len(held)
                 names, held, size = [], [], 0
         if names:
             yield out(names, held, batch.column(0).type)
+            row += len(held)
 
 
 def _number(batches, window: int):
@@ -215,7 +221,7 @@ def _number(batches, window: int):
         before = chunks + np.cumsum(full) - full
         n = batch.num_rows
         extra = [pa.array(np.full(n, part, np.int32)), pa.array(place + np.arange(n)), pa.array(before)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *extra], ["doc_id", "n", "rest", "ids", "part", "place", "chunks"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, *extra], ["row", "n", "rest", "part", "place", "chunks"])
         place, chunks = place + n, chunks + int(full.sum())
 
 
@@ -232,7 +238,7 @@ def _pieces(batches, rows: np.ndarray, below: np.ndarray, offsets: dict[int, tup
 
     for batch in batches:
         kind, found, held, size = batch.column(0).type, [], [], 0
-        for doc_id, n, rest, raw, part, place, chunk in zip(*batch.columns, strict=True):
+        for doc_id, raw, n, rest, part, place, chunk in zip(*batch.columns, strict=True):
             doc_id, n, rest, raw, part = doc_id.as_py(), n.as_py(), rest.as_py(), raw.as_py(), part.as_py()
             first_place, first_chunk = offsets[part]
             ids = np.frombuffer(raw, f"<u{len(raw) // n}").astype("<u4").tobytes()
@@ -269,11 +275,10 @@ def pack(
     spark = docs.sparkSession
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, n long, rest long, ids binary"
+    shape = f"doc_id {kind}, row long, n long, rest long, ids binary"
     tokens = written(rows.mapInArrow(lambda b: _tokenise(b, vocabulary, end, window), shape), "pack-tokens")
-    tokens = tokens.withColumn("_row", F.monotonically_increasing_id())
-    ranged = tokens.repartitionByRange(partitions_for(spark), "rest", "_row").sortWithinPartitions("rest", "_row").drop("_row")
-    placed = written(ranged.mapInArrow(lambda b: _number(b, window), f"{shape}, part int, place long, chunks long"), "pack-places")
+    ranged = tokens.select("row", "n", "rest").repartitionByRange(partitions_for(spark), "rest", "row").sortWithinPartitions("rest", "row")
+    placed = written(ranged.mapInArrow(lambda b: _number(b, window), "row long, n long, rest long, part int, place long, chunks long"), "pack-places")
     histogram, below, offsets = np.zeros(window, np.int64), np.zeros(window, np.int64), {}
     for r in placed.groupBy("rest").count().collect():  # at most one row per length
         histogram[r["rest"]] = r["count"]
@@ -285,4 +290,5 @@ def pack(
         offsets[r["part"]] = at_place, at_chunk
         at_place, at_chunk = at_place + r["rows"], at_chunk + r["chunks"]
     shape = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else "")
-    return placed.mapInArrow(lambda b: _pieces(b, table, below, offsets, window, with_ids), shape)
+    joined = tokens.select("doc_id", "row", "ids").join(placed, "row").select("doc_id", "ids", "n", "rest", "part", "place", "chunks")
+    return joined.mapInArrow(lambda b: _pieces(b, table, below, offsets, window, with_ids), shape)
