@@ -17,9 +17,11 @@ the files and any task can read any segment.  Order: (part, segment) ascend
 with the ids, since parts are range partitions; a row number breaks ties, which
 also spreads an id that holds many rows.
 
-Tokenising.  A blank before a letter, digit or underscore always starts a new
-pre-token, so a text is cut there and every piece is encoded on its own by the
-library; the ids of frequent pieces are kept in a bounded cache per worker.
+Tokenising goes by the ranks of the vocabulary where there are any
+(:mod:`shelfwise.llm.byte_bpe`), which keeps nothing between texts.  For other
+byte-level vocabularies: a blank before a letter, digit or underscore always
+starts a new pre-token, so a text is cut there and every piece is encoded on its
+own by the library; the ids of frequent pieces are kept in a bounded cache.
 
 Defined results: a null or empty text has the end id alone; null ids come
 first; repeated rows are encoded one by one; an empty table writes no segment.
@@ -37,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm import byte_bpe
 from shelfwise.llm.common import Recent, partitions_for
 from shelfwise.session import scratch_path
 
@@ -48,7 +51,7 @@ LANES = 4096
 CHECK = 128
 LOWEST = np.uint64(1 << 31)
 END = 2
-CACHE = 800_000  # pieces in each of two generations
+CACHE = 200_000  # pieces in each of two generations, some 40 MB
 KEEP = 64  # longer pieces are not kept
 
 _HEAD = struct.Struct("<4sHHIIQI")  # magic, version, id bytes, documents, blocks, ids, crc of the rest
@@ -271,7 +274,9 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return lengths, ids
 
 
-def _encoder(vocabulary: str) -> Pieces:
+def _encoder(vocabulary: str) -> Pieces | byte_bpe.RankEncoder:
+    if byte_bpe.has_ranks(vocabulary):
+        return byte_bpe.encoder(vocabulary)
     if vocabulary not in _ENCODERS:
         import public_tokenizers
 
@@ -294,10 +299,10 @@ def _write(batches, vocabulary: str, end: int):
 
     for batch in batches:
         kind = batch.schema.field(0).type
-        doc_ids, texts, parts = (batch.column(k).to_pylist() for k in range(3))
-        for doc_id, text, part in zip(doc_ids, texts, parts, strict=True):
-            held.append(pieces.ids(text or "") + stop)
-            names.append(doc_id)
+        for doc_id, text, task in zip(*batch.columns, strict=True):
+            part = task.as_py()
+            held.append(pieces.ids(text.as_py() or "") + stop)
+            names.append(doc_id.as_py())
             ids += len(held[-1]) // pieces.type.itemsize
             if ids >= SEGMENT:
                 yield row()
