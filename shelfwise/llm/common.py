@@ -68,6 +68,13 @@ def in_order(df: DataFrame, *order) -> DataFrame:
     return joined.withColumn("place", F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_row", "_part", "_offset")
 
 
+def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns c0, c1, ... and the new name of each, so that no name
+    of a document's column meets one that an operator uses; ``toDF(*docs.columns)`` undoes it."""
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 class Recent:
     """A bounded cache of two generations: what is used again outlives what is not.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Slice, Words, byte_table, text_slices, window_hashes, words_of, written
+from shelfwise.llm.common import Slice, Words, byte_table, plain_names, text_slices, window_hashes, words_of, written
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -203,9 +203,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any benchmark window, columns unchanged."""
-    marked = mark(docs, benchmark, **options)
-    return marked.where(F.size("_hits") == 0).select(*[marked[c] for c in docs.columns])
+    """The documents without any benchmark window, columns unchanged whatever their names."""
+    plain, names = plain_names(docs)
+    marked = mark(plain, benchmark, **options | {"text": names[options.get("text", "text")]})
+    return marked.where(F.size("_hits") == 0).select(*names.values()).toDF(*docs.columns)
 
 
 def _cut(batches, text_at: int):
@@ -231,10 +232,11 @@ def _cut(batches, text_at: int):
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """Every document, the text cut from the first to the last word of each hit run."""
-    marked = mark(docs, benchmark, text=text, **options)
+    plain, names = plain_names(docs)
+    marked = mark(plain, benchmark, text=names[text], **options)
     at = docs.columns.index(text)
     cut = marked.mapInArrow(lambda rows: _cut(rows, at), marked.schema)
-    return cut.select(*[cut[c] for c in docs.columns])
+    return cut.select(*names.values()).toDF(*docs.columns)
 
 
 def items_digest(ids) -> str:

@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Slice, byte_table, mix64, partitions_for, text_slices, window_hashes, words_of, written
+from shelfwise.llm.common import Slice, byte_table, mix64, partitions_for, plain_names, text_slices, window_hashes, words_of, written
 from shelfwise.session import unique_name
 
 SHINGLE = 3
@@ -444,7 +444,9 @@ def _with_component(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """One document of every component, that of the smallest id, columns unchanged; empty sets all stay."""
+    """One document of every component, that of the smallest id, columns unchanged whatever their names; empty sets all stay."""
+    columns, (docs, names) = docs.columns, plain_names(docs)
+    doc_id, text = names[doc_id], names[text]
     picked = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
     rows = written(numbered(picked, keep=["doc_id"], shingle=shingle), "sets-of-documents")
     linked = linked_sets(picked, percent=percent, shingle=shingle)
@@ -455,4 +457,4 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", per
     all_rows = numbered(docs, text=text, shingle=shingle)
     chosen = all_rows.where("_set IS NOT NULL").withColumn("_k", F.col(doc_id)).dropDuplicates(["_k", "_set"])
     chosen = chosen.join(first, F.expr("_k <=> _first AND _set = _first_set"), "left_semi")
-    return chosen.select(*docs.columns).unionByName(all_rows.where("_set IS NULL").select(*docs.columns))
+    return chosen.select(*docs.columns).unionByName(all_rows.where("_set IS NULL").select(*docs.columns)).toDF(*columns)

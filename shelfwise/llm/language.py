@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import Slice, crc_fold, text_slices, written
+from shelfwise.llm.common import Slice, crc_fold, plain_names, text_slices, written
 
 ALPHABET = 40
 ORDER = 3
@@ -226,6 +226,8 @@ def held_out_identification(docs: DataFrame, *, doc_id: str = "doc_id", text: st
 
 
 def keep_identified(docs: DataFrame, model: Model, *, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Documents with a language of at least that probability, columns unchanged."""
-    judged = identify(docs, model, text=text, names=("_lang_pred", "_lang_score"))
-    return judged.where((F.col("_lang_pred") != NONE) & (F.col("_lang_score") >= least)).select(*[judged[c] for c in docs.columns])
+    """Documents with a language of at least that probability, columns unchanged whatever their names."""
+    plain, names = plain_names(docs)
+    judged = identify(plain, model, text=names[text], names=("_lang_pred", "_lang_score"))
+    kept = judged.where((F.col("_lang_pred") != NONE) & (F.col("_lang_score") >= least))
+    return kept.select(*names.values()).toDF(*docs.columns)

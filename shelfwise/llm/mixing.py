@@ -41,11 +41,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import in_order, written
+from shelfwise.llm.common import in_order, partitions_for, plain_names, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEAF = 2000
 FAN_IN = 64
+RUN = 4096  # repeats of one row that a task writes at a time
 SEED = 17
 WEIGHTS = (5, 2, 1)
 KEY = ["doc_id", "source", "size", "text_hash"]
@@ -170,11 +171,26 @@ def mixture(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source",
     return copies.alias("c").join(wanted.alias("w"), F.expr("c.source <=> w.source")).select("c.*", "w.source_size", "w.target")
 
 
+def _repeated(rows: DataFrame, times: str, nth: str) -> DataFrame:
+    """Every row ``times`` times, numbered from 0 in ``nth``.
+
+    Rows of many repeats are first split into runs of ``RUN``, which are dealt
+    out over all tasks, so one row repeated a million times is no task's work alone.
+    """
+    long = F.col(times) > RUN
+    runs = rows.where(long).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / RUN))))
+    runs = runs.repartition(partitions_for(rows.sparkSession), "_run", times)
+    runs = rows.where(~long).withColumn("_run", F.lit(0).cast("long")).unionByName(runs)
+    first = F.col("_run") * RUN
+    each = F.explode(F.sequence(first, F.least(first + RUN, F.col(times)) - 1))
+    return runs.where(F.col(times) > 0).withColumn(nth, each).drop("_run")
+
+
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken,
     and the whole copies and further words it is taken with."""
     mixed = mixture(docs, **options)
-    rows = mixed.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    rows = _repeated(mixed, "times", "nth").withColumn("nth", F.col("nth") + 1)
     over = F.col("copies") % F.col("times")
     share = F.floor(F.col("copies") / F.col("times")) + (F.col("nth") <= over).cast("long")
     part = F.when(F.col("nth") == over + 1, F.col("part")).otherwise(0)
@@ -183,30 +199,55 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.col("copies").cast("int").alias("copies"), F.col("part").cast("long").alias("part"))
 
 
+def _whole_residuals(mixed: DataFrame, id_type: str, seed: int) -> DataFrame:
+    """``mixed`` with the documents taken in part rounded to whole ones.
+
+    They are one per source; they meet across sources in a tree of their own, so
+    that words move from one source's document to another's and the corpus keeps
+    its size to within one document, however many sources there are.
+    """
+    named = mixed.withColumn("unit", F.xxhash64(*KEY))
+    parts = named.where("part > 0").select(
+        "doc_id", F.lit(None).cast("string").alias("source"), "size", F.col("unit").alias("text_hash"), "times", F.lit(0).cast("long").alias("whole"), F.lit(-1).cast("long").alias("extra"),
+        F.lit(0).cast("long").alias("part"), (F.col("part") / F.col("size")).alias("p"),
+    )
+    parts = written(parts, "mixing-residuals")
+    leaves = max(1, math.ceil(parts.count() / LEAF))
+    units = parts.withColumn("leaf", F.pmod(F.xxhash64("text_hash"), F.lit(leaves)).cast("long"))
+    settled = _round(units, leaves, id_type, seed + 1000)
+    draw = F.pmod(F.xxhash64("text_hash", F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)  # for the one left
+    more = F.col("extra") + F.when(draw * F.col("size") < F.col("part"), 1).otherwise(0)
+    more = settled.select(F.col("text_hash").alias("unit"), more.alias("more"))
+    rounded = named.join(more, "unit", "left")
+    return rounded.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).withColumn("part", F.lit(0).cast("long")).drop("unit", "more")
+
+
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = SEED, whole: bool = False, **options) -> DataFrame:
-    """The mixed corpus: every document as often as it is taken, columns unchanged.
+    """The mixed corpus: every document as often as it is taken, columns unchanged whatever their names.
 
     Rows equal in id, source and text are one document here; its other
     columns are those of one of them.  The document a source takes in part
-    (at most one) comes with its first words, joined by blanks; if ``whole``, it
-is taken whole or not at all by a seeded draw with the same expected words.
+    (at most one) comes with its first words, joined by blanks; if ``whole``, these
+    documents meet across sources and are taken whole or not at all.
     """
+    columns, (docs, names) = docs.columns, plain_names(docs)
+    doc_id, source, text = names[doc_id], names[source], names[text]
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     mixed = mixture(docs, doc_id=doc_id, source=source, text=text, seed=seed, **options)
     if whole:
-        draw = F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
-        more = F.when(draw * F.col("size") < F.col("part"), 1).otherwise(0)
-        mixed = mixed.withColumn("copies", F.col("copies") + more).withColumn("part", F.lit(0).cast("long"))
+        mixed = _whole_residuals(mixed, docs.schema[doc_id].dataType.simpleString(), seed)
     mixed = mixed.where("copies > 0 OR part > 0")
-    words = F.when(F.col("part") > 0, F.concat(F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")), F.array("part")))
-    words = F.coalesce(words, F.array_repeat(F.lit(None).cast("long"), F.col("copies").cast("int")))
     mixed = mixed.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), words.alias("_takes")
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), F.col("copies").alias("_copies"), F.col("part").alias("_part")
     )
     keyed = docs.select(
         "*", docs[doc_id].alias("_k_id"), docs[source].cast("string").alias("_k_source"), F.xxhash64(body).alias("_k_hash"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("_k_size")
     ).dropDuplicates(["_k_id", "_k_source", "_k_hash", "_k_size"])
     same = F.expr("_k_id <=> _id AND _k_source <=> _source AND _k_hash = _hash AND _k_size = _size")
-    taken = keyed.join(mixed, same).withColumn("_words", F.explode("_takes"))
-    first = F.array_join(F.slice(F.regexp_extract_all(taken[text], F.lit(WORD), F.lit(0)), F.lit(1), F.col("_words").cast("int")), " ")
-    return taken.select(*[F.when(F.col("_words").isNull(), taken[c]).otherwise(first).alias(c) if c == text else taken[c] for c in docs.columns])
+    taken = keyed.join(mixed, same)
+    copies = _repeated(taken, "_copies", "_nth") if (mixed.agg(F.max("_copies")).first()[0] or 0) > RUN else taken.withColumn("_nth", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+    copies = copies.select(*docs.columns)
+    if not whole:
+        first = F.array_join(F.slice(F.regexp_extract_all(taken[text], F.lit(WORD), F.lit(0)), F.lit(1), F.col("_part").cast("int")), " ")
+        copies = copies.unionByName(taken.where("_part > 0").withColumn(text, first).select(*docs.columns))
+    return copies.toDF(*columns)

@@ -4,7 +4,12 @@ import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names the operators use themselves.
-CLASH = "size int, score string, shard string, part int, place int, row string, hashes string, copies int, n_words string, component string"
+CLASH = (
+    "size int, score string, shard string, part int, place int, row string, hashes string, copies int, n_words string, component string, "
+    "_bits string, _letters int, _lang_pred int, _lang_score string, _set string, _size string, _k int, _first string, _first_set string, _hits string, _n_words string, _items int, "
+    "_id string, _hash string, _source int, _k_id string, _k_source int, _k_hash string, _k_size string, _copies string, _part string, _nth string, _run string, _row string, _doc string, "
+    "n string, form int, output int, rest string, ids string, h0 string, c0 string, c1 int, set string, least string, times string, h2 string"
+)
 
 
 @pytest.fixture
@@ -12,7 +17,7 @@ def make_docs(spark):
     """Documents from (doc_id, text, lang, source) rows, with columns of clashing names."""
 
     def make(rows):
-        full = [(*r, None if r[1] is None else len(r[1]), *([None] * 10)) for r in rows]
+        full = [(*r, None if r[1] is None else len(r[1]), *([None] * len(CLASH.split(',')))) for r in rows]
         return spark.createDataFrame(full, f"{DOCS}, {CLASH}")
 
     return make

@@ -1,6 +1,7 @@
 """The registered queries, their oracle SQL and the pipeline."""
 
 import importlib
+import math
 import re
 import struct
 import sys
@@ -18,7 +19,9 @@ from shelfwise.llm import queries
 from shelfwise.llm.decontaminate import normal_words
 
 from conftest import SF001
-from .test_jaccard import _brute
+from .test_mixing import _size as _words
+from .test_mixing import _targets
+from .test_near_copies import _components
 
 COLUMNS = {
     "op1": {"page_id", "url", "text", "n_chars"},
@@ -80,6 +83,23 @@ def test_entry_without_the_subpackage(monkeypatch):
     assert "pipeline" in entry.queries()
 
 
+def _check_mix(before, after):
+    """Whole rows, each 0 to 3 times, every source within a document of its target and the corpus within one of its size."""
+    sizes, of = Counter(), {r.doc_id: r for r in before}
+    for r in before:
+        sizes[r.source] += _words(r.text)
+    want, taken, times = _targets(sizes), Counter(), Counter(r.doc_id for r in after)
+    for r in after:
+        assert r == of[r.doc_id]
+        taken[r.source] += _words(r.text)
+    for doc_id, n in times.items():
+        r = of[doc_id]
+        assert math.floor(want[r.source] / sizes[r.source]) <= n <= math.ceil(want[r.source] / sizes[r.source] - 1e-9)
+    longest = max(map(_words, (r.text for r in before)))
+    assert all(abs(taken[s] - want[s]) <= longest for s in sizes)
+    assert abs(sum(taken.values()) - sum(want.values())) <= longest + len(sizes)
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against brute force on the documents its predecessor kept."""
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
@@ -94,7 +114,7 @@ def test_pipeline_stages(spark, tmp_path):
     before, after = rows[0]
     assert len(before) == 200 and {r.doc_id for r in before} - {r.doc_id for r in after} <= {r.doc_id for r in before if not re.search(r"[^\W\d_]", r.text or "")}
     before, after = rows[1]
-    least = {d: c for d, _, c in _brute([(r.doc_id, r.text) for r in before])}
+    least = dict(_components([(r.doc_id, r.text) for r in before], 3, 90))
     assert sorted(r.doc_id for r in after) == sorted(d for d, c in least.items() if d == c)
     before, after = rows[2]
     items = [normal_words(r.text) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
@@ -107,7 +127,7 @@ def test_pipeline_stages(spark, tmp_path):
 
     assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in before if not leaks(r.text))
     before, after = rows[3]
-    assert {r.doc_id for r in after} <= {r.doc_id for r in before}
+    _check_mix(before, after)
     before, after = rows[4]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
