@@ -18,6 +18,7 @@ Scale notes
 from __future__ import annotations
 
 import contextlib
+import os
 import tempfile
 import uuid
 
@@ -86,6 +87,21 @@ def _shared_root(spark: SparkSession) -> str:
     return root
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers get the folder on their path.  That is all a local master needs; on
+    a cluster the package is installed or sent with ``--py-files`` and the
+    folder need not exist.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared scratch root.
 

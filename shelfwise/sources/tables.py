@@ -6,12 +6,15 @@ action runs, so Catalyst prunes columns and pushes filters into each scan
 (``ReadSchema`` / ``PushedFilters`` in ``explain``).
 
 Every access lists the table's files anew, so files appended since the last
-query are read.
+query are read.  The schema is read from a footer once per session and path and
+handed to later reads, which then start no job of their own; a table whose
+columns change while a session runs needs :func:`forget_schemas`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLE_NAMES = (
     "region",
@@ -31,6 +34,22 @@ TABLE_NAMES = (
 )
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet(path)`` that infers the schema of a path once per session."""
+    key = spark.sparkContext.applicationId, path
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def forget_schemas() -> None:
+    """Infer every schema anew at its next read."""
+    _SCHEMAS.clear()
+
+
 class Tables:
     """Lazy access to ``<root>/<name>.parquet`` tables."""
 
@@ -42,7 +61,7 @@ class Tables:
         return f"{self.root}/{name}.parquet"
 
     def load(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return read_parquet(self.spark, self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:
