@@ -232,6 +232,14 @@ def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         return e.select("event_id", dates.parse_date(text).alias("event_date"))
 
 
+def parse_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``unix_timestamp(text, pattern)``: seconds since 1970 of a day given as text; other texts give null."""
+    e = Tables(spark, sf_dir).events
+    with session_time_zone(spark, "UTC"):
+        text = F.when(F.col("event_id") % 11 == 0, F.lit("no day")).otherwise(F.date_format("ts", dates.DAY_PATTERN))
+        return e.select("event_id", dates.parse_to_epoch_s(text).alias("day_epoch"))
+
+
 def timestamp_text_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Date part of a timestamp given as text; every seventh text is none."""
     e = Tables(spark, sf_dir).events
@@ -291,6 +299,7 @@ QUERIES = {
     "limit_rows": limit_rows,
     "month_key": month_key,
     "parse_date": parse_date,
+    "parse_epoch": parse_epoch,
     "timestamp_text_to_date": timestamp_text_to_date,
     "epoch_month": epoch_month,
     "epoch_ms_to_date": epoch_ms_to_date,

@@ -64,9 +64,9 @@ def io_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     back to the source types by column name."""
     src = _part(spark, sf_dir)
     path = scratch_path(spark, "part-csv-infer")
-    formats.write_as(src, path, "csv", "none", sep=PIPE, header="true")
-    inferred = formats.read_as(spark, path, "csv", sep=PIPE, header="true", inferSchema="true")
-    return formats.cast_to_schema(inferred, src.schema)
+    formats.write_as(formats.map_strings(src, formats.escape), path, "csv", "none", sep=PIPE, header="true", **formats.CSV_QUOTING)
+    inferred = formats.read_as(spark, path, "csv", sep=PIPE, header="true", inferSchema="true", **formats.CSV_QUOTING)
+    return formats.map_strings(formats.cast_to_schema(inferred, src.schema), formats.unescape)
 
 
 def io_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +79,10 @@ def io_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_retailprice",
     )
     path = scratch_path(spark, "part-csv-quoted")
-    formats.write_as(src, path, "csv", "none", sep=PIPE, quote='"', emptyValue="")
-    return formats.read_as(spark, path, "csv", src.schema, sep=PIPE, quote='"', encoding="UTF-8")
+    quoting = {"quote": '"', "escape": '"'}
+    formats.write_as(formats.map_strings(src, formats.escape), path, "csv", "none", sep=PIPE, emptyValue="", **quoting)
+    back = formats.read_as(spark, path, "csv", src.schema, sep=PIPE, encoding="UTF-8", **quoting)
+    return formats.map_strings(back, formats.unescape)
 
 
 def _sequence(key_first: bool, codec: str | None = None, new_api: bool = False, inferred: bool = False):
@@ -111,6 +113,29 @@ def split_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formats.parse_delimited_lines(formats.read_as(spark, path, "text"), ",", declared)
 
 
+def infer_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty text lines -> split -> types inferred from all values: whole numbers,
+    numbers with and without a fraction, dates with gaps, dates among timestamps,
+    codes with leading zeros, and columns with words among the numbers or dates."""
+    orders = Tables(spark, sf_dir).orders
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    price = F.col("o_totalprice")
+    dirty = orders.select(
+        key.cast("string").alias("order_id"),
+        F.when(key % 10 == 0, price.cast("bigint").cast("string")).otherwise(price.cast("string")).alias("price"),
+        F.when(key % 7 == 0, F.lit("")).otherwise(day).alias("order_day"),
+        F.when(key % 2 == 0, day).otherwise(F.concat(day, F.lit(" 10:20:30"))).alias("order_moment"),
+        (F.when(key % 2 == 0, F.lit("true")).otherwise(F.lit("False"))).alias("even"),
+        F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("customer_code"),
+        F.when(key % 100 == 0, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(key % 100 == 1, F.lit("unknown")).otherwise(day).alias("ship_day"),
+    )
+    path = scratch_path(spark, "orders-dirty-lines")
+    formats.write_as(formats.to_delimited_lines(dirty, ","), path, "text")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in dirty.columns])
+    return formats.with_inferred_types(formats.parse_delimited_lines(formats.read_as(spark, path, "text", "value string"), ",", text))
+
+
 def split_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines split at their first comma: the key, and the rest as one value."""
     nation = Tables(spark, sf_dir).nation
@@ -171,6 +196,7 @@ QUERIES = {
     "io_sequence_bzip2": _sequence(True, "bzip2", inferred=True),
     "io_sequence_newapi": _sequence(True, new_api=True),
     "split_typed_rows": split_typed_rows,
+    "infer_typed_rows": infer_typed_rows,
     "split_first_rows": split_first_rows,
     "sql_on_files": sql_on_files,
     "save_modes": save_modes,
@@ -178,8 +204,18 @@ QUERIES = {
 
 _PART = "select * from part"
 
-ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes", "split_typed_rows", "split_first_rows")}
+ORACLE_SQL = {k: _PART for k in QUERIES if k not in ("io_csv_quoted", "save_modes", "split_typed_rows", "infer_typed_rows", "split_first_rows")}
 ORACLE_SQL["split_typed_rows"] = "select c_custkey, c_name, c_acctbal from customer"
+ORACLE_SQL["infer_typed_rows"] = """
+    select cast(o_orderkey as integer) as order_id,
+           case when o_orderkey % 10 = 0 then trunc(o_totalprice) else o_totalprice end as price,
+           case when o_orderkey % 7 <> 0 then cast(o_orderdate as date) end as order_day,
+           cast(cast(o_orderdate as date) as timestamp) + case when o_orderkey % 2 = 0 then interval 0 second else interval 37230 second end as order_moment,
+           o_orderkey % 2 = 0 as even,
+           lpad(cast(o_custkey as varchar), 9, '0') as customer_code,
+           case when o_orderkey % 100 = 0 then 'n/a' else cast(o_custkey as varchar) end as customer,
+           case when o_orderkey % 100 = 1 then 'unknown' else strftime(o_orderdate, '%Y-%m-%d') end as ship_day
+    from orders"""
 ORACLE_SQL["split_first_rows"] = """
     select cast(n_nationkey as varchar) as key, n_name || ',' || cast(n_regionkey as varchar) as value
     from nation"""

@@ -13,7 +13,7 @@ from shelfwise.operators import ingest
 from shelfwise.session import scratch_path, unique_name
 from shelfwise.sources.formats import convert, write_as
 from shelfwise.sources.tables import Tables
-from shelfwise.streaming.incremental import read_target, run_available_now
+from shelfwise.streaming.incremental import read_remembered, read_target, run_available_now, run_remembered
 
 # Split points, separators and sentinels of the reference's
 # import commands.  PART1_MAX, PART2_MIN and LAST_VALUE only divide the table
@@ -22,10 +22,13 @@ from shelfwise.streaming.incremental import read_target, run_available_now
 PART1_MAX, PART2_MIN = 1111, 1000
 LAST_VALUE = 1347
 BOUNDED_MIN, BOUNDED_MAX = 1, 1000
+IMPORT_TASKS = 3
 STAR = "*"
 PIPE = "|"
 LINE_END = ";"
 
+KEY_RANGES = 16
+
 # Tables a full import copies: the stand-ins of the retail schema
 # (departments, categories, products, customers, orders, order items).
 IMPORT_ALL = ("region", "nation", "supplier", "part", "customer", "orders", "lineitem")
@@ -115,6 +118,12 @@ def ingest_all_tables(spark: SparkSession, sf_dir: str, fmt: str = "parquet") ->
     return report
 
 
+def ingest_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full import again, tables side by side, each compared with its source row for row by hashes."""
+    t = Tables(spark, sf_dir)
+    return ingest.import_verified({name: t.load(name) for name in IMPORT_ALL}, lambda name: scratch_path(spark, f"import-verified-{name}"))
+
+
 def _changed(part: DataFrame) -> DataFrame:
     return part.select(
         "p_partkey",
@@ -142,6 +151,23 @@ def ingest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(merged_path)
 
 
+def ingest_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a keyed catalog table, in place: ranges of the key
+    that the second part does not reach keep their files."""
+    part = Tables(spark, sf_dir).part
+    name = ingest.create_keyed(part.where(F.col("p_partkey") <= PART1_MAX), unique_name("products_keyed"), "p_partkey", KEY_RANGES)
+    ingest.merge_into_keyed(spark, name, _changed(part.where(F.col("p_partkey") > PART2_MIN)))
+    return ingest.keyed_rows(spark, name)
+
+
+def ingest_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Import the whole order lines by three tasks of equal work, split by a
+    column whose values are few and repeated."""
+    lineitem = Tables(spark, sf_dir).lineitem
+    back = ingest.import_in_splits(lineitem, scratch_path(spark, "import-splits"), "l_quantity", IMPORT_TASKS, compression="snappy")
+    return back.drop("split")
+
+
 def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial import up to a last value, then two incremental runs that
     append only keys above the target's current maximum."""
@@ -184,18 +210,42 @@ def ingest_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_target(spark, target)
 
 
+def ingest_remembered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved import job over a landing folder: the first slice lands, then lands
+    again beside the second, and the job runs after each and once with nothing new."""
+    part = Tables(spark, sf_dir).part
+    landing, target, state = (scratch_path(spark, f"remembered-{k}") for k in ("landing", "target", "state"))
+    first, second = part.where(F.col("p_partkey") <= PART2_MIN), part.where(F.col("p_partkey") > PART2_MIN)
+    for slices in ([first], [first, second], []):
+        for rows in slices:
+            write_as(rows, landing, "parquet", "snappy", mode="append")
+        run_remembered(spark.read.schema(part.schema).parquet(landing), target, state, "p_partkey")
+    return read_remembered(spark, target, part.schema)
+
+
 QUERIES = {
     "ingest_table": ingest_table,
     "ingest_bounds": ingest_bounds,
     "ingest_bounded": ingest_bounded,
     "ingest_nulls": ingest_nulls,
     "ingest_all_tables": ingest_all_tables,
+    "ingest_verified": ingest_verified,
     "ingest_merge": ingest_merge,
+    "ingest_merge_table": ingest_merge_table,
+    "ingest_splits": ingest_splits,
     "ingest_incremental": ingest_incremental,
     "ingest_incremental_table": ingest_incremental_table,
     "ingest_incremental_stream": ingest_incremental_stream,
+    "ingest_remembered": ingest_remembered,
 }
 
+_MERGED = """
+        select * from part where p_partkey <= 1000
+        union all
+        select p_partkey, p_name || ' v2' as p_name, p_brand, p_type, p_size,
+               p_retailprice + 1.0 as p_retailprice
+        from part where p_partkey > 1000"""
+
 ORACLE_SQL = {
     "ingest_table": "select * from part",
     "ingest_bounds": "select min(p_partkey) as min_key, max(p_partkey) as max_key from part",
@@ -210,13 +260,12 @@ ORACLE_SQL = {
     "ingest_all_tables": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows, {_content(_IMPORTED[name], 1)} as content from {name}" for name in IMPORT_ALL
     ),
-    "ingest_merge": """
-        select * from part where p_partkey <= 1000
-        union all
-        select p_partkey, p_name || ' v2' as p_name, p_brand, p_type, p_size,
-               p_retailprice + 1.0 as p_retailprice
-        from part where p_partkey > 1000""",
+    "ingest_verified": " union all ".join(f"select '{name}' as table_name, count(*) as n_rows, true as same from {name}" for name in IMPORT_ALL),
+    "ingest_merge": _MERGED,
+    "ingest_merge_table": _MERGED,
+    "ingest_splits": "select * from lineitem",
     "ingest_incremental": "select * from part",
     "ingest_incremental_table": "select * from part",
     "ingest_incremental_stream": "select * from part",
+    "ingest_remembered": "select * from part",
 }

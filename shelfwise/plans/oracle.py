@@ -96,6 +96,9 @@ ANALYTICS_SQL = {
         select strftime(o_orderdate, '%Y-%m') as order_month, count(*) as n_orders
         from orders group by 1""",
     "parse_date": "select event_id, cast(ts as date) as event_date from events",
+    "parse_epoch": """
+        select event_id, case when event_id % 11 <> 0 then cast(epoch(cast(cast(ts as date) as timestamp)) as bigint) end as day_epoch
+        from events""",
     "timestamp_text_to_date": """
         select event_id, case when event_id % 7 <> 0 then cast(ts as date) end as event_date from events""",
     "epoch_month": "select strftime(ts, '%Y-%m') as event_month, count(*) as n_events from events group by 1",

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from shelfwise.plans import analytics
 from shelfwise.session import scratch_path, session_conf, unique_name
 from shelfwise.sources import catalog
-from shelfwise.sources.formats import CSV_QUOTING, write_as
+from shelfwise.sources.formats import CSV_QUOTING, escape, map_strings, unescape, write_as
 from shelfwise.sources.tables import Tables
 
 # Two literal rows for ``part`` (p_partkey, p_name, p_brand, p_type, p_size,
@@ -32,18 +32,16 @@ def ddl_load_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited file with a header -> managed ``USING csv`` table -> load."""
     part = Tables(spark, sf_dir).part
     landing = scratch_path(spark, "landing-part-text")
-    # A plain reader has no way to undo escapes, so line breaks stay in quoted
-    # fields, each file is read by one task (multiLine), and the null mark
-    # itself reads as null, as in Hive.
-    quoting = CSV_QUOTING | {"multiLine": "true"}
-    write_as(part, landing, "csv", "none", sep="|", header="true", **CSV_QUOTING)
+    # Line breaks and backslashes are escaped, so files stay splittable; the
+    # escapes are undone where the table is read.
+    write_as(map_strings(part, escape), landing, "csv", "none", sep="|", header="true", **CSV_QUOTING)
     name = unique_name("part_text")
     catalog.create_table(
-        spark, name, part.schema, using="csv", options={"sep": "|", "header": "true"} | quoting,
+        spark, name, part.schema, using="csv", options={"sep": "|", "header": "true"} | CSV_QUOTING,
         comment="pipe-delimited part",
     )
-    catalog.load_delimited(spark, name, landing, sep="|", header=True, overwrite=True, **quoting)
-    return spark.table(name)
+    catalog.load_delimited(spark, name, landing, sep="|", header=True, overwrite=True, **CSV_QUOTING)
+    return map_strings(spark.table(name), unescape)
 
 
 def ddl_external(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,25 +115,14 @@ def ddl_alter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ddl_multi_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan of the source feeds two targets.
-
-    ``FROM src INSERT ... INSERT ...`` would scan the source once per target in
-    Spark.  Here one ``INSERT OVERWRITE`` writes a table partitioned by target,
-    and each target is a view of its partition.
-    """
+    """One scan of the source feeds two tables (Spark's ``FROM src INSERT ...
+    INSERT ...`` would scan it once per target)."""
     orders = Tables(spark, sf_dir).orders
-    src, store = unique_name("orders_src"), unique_name("orders_split")
-    orders.createOrReplaceTempView(src)
-    kinds = T.StructType([*orders.schema.fields, T.StructField("target", T.StringType())])
-    catalog.create_table(spark, store, kinds, using="parquet", partitioned_by=["target"])
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {store} "
-        f"SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS target FROM {src}"
-    )
-    targets = {t: unique_name(f"orders_{t}") for t in ("done", "open")}
-    for target, view in targets.items():
-        spark.sql(f"CREATE TEMPORARY VIEW {view} AS SELECT * FROM {store} WHERE target = '{target}'")
-    return spark.table(targets["done"]).unionByName(spark.table(targets["open"]))
+    done = F.col("o_orderstatus") == "F"
+    names = {t: unique_name(f"orders_{t}") for t in ("done", "open")}
+    catalog.multi_insert(orders, scratch_path(spark, "orders-split"), {names["done"]: done, names["open"]: ~F.coalesce(done, F.lit(False))})
+    parts = [spark.table(table).withColumn("target", F.lit(target)) for target, table in names.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def _orders_by_month(orders: DataFrame) -> DataFrame:
@@ -155,10 +142,12 @@ def ddl_dynamic_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = unique_name("orders_part")
     catalog.create_table(spark, name, rows.schema, using="parquet", partitioned_by=["order_month"])
     catalog.overwrite_partitions(catalog.spread_for_partitioned_write(rows, ["order_month"]), name)
-    first_month = rows.agg(F.min("order_month").alias("order_month"))
-    replacement = (
-        rows.join(F.broadcast(first_month), "order_month", "left_semi").orderBy("order_id").limit(1)
-    ).select(*rows.columns)
+    # The earliest month comes from the table's partition names, its rows from that partition alone.
+    months = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    first_month = min((m for m in months if m != "__HIVE_DEFAULT_PARTITION__"), default=None)
+    if first_month is None:
+        return spark.table(name)
+    replacement = spark.table(name).where(F.col("order_month") == first_month).orderBy("order_id").limit(1).select(*rows.columns)
     catalog.overwrite_partitions(replacement, name)
     return spark.table(name)
 
@@ -173,6 +162,16 @@ def _bids_by_year(orders: DataFrame) -> DataFrame:
     )
 
 
+def _text_view(spark: SparkSession, path: str, columns: str, **options: str) -> str:
+    """A temporary table over CSV files with declared types (``CREATE TEMPORARY
+    VIEW ... USING csv``, no copy), and the view over it that undoes the escapes."""
+    raw, view = unique_name("temp_text"), unique_name("temp_rows")
+    given = catalog.sql_options({"path": path} | options | CSV_QUOTING)
+    spark.sql(f"CREATE TEMPORARY VIEW {raw} ({columns}) USING csv OPTIONS ({given})")
+    map_strings(spark.table(raw), unescape).createOrReplaceTempView(view)
+    return view
+
+
 def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bids land as a comma-delimited file and are read through a temporary
     table (``CREATE TEMPORARY VIEW ... USING csv``, declared column types,
@@ -188,12 +187,8 @@ def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     bids = _bids_by_year(Tables(spark, sf_dir).orders)
     landing = scratch_path(spark, "landing-bids")
-    write_as(bids, landing, "csv", "none", sep=",")
-    view = unique_name("temp_bids")
-    spark.sql(
-        f"CREATE TEMPORARY VIEW {view} ({catalog.ddl_columns(bids.schema)}) "
-        f"USING csv OPTIONS (path '{landing}', sep ',')"
-    )
+    write_as(map_strings(bids, escape), landing, "csv", "none", sep=",", **CSV_QUOTING)
+    view = _text_view(spark, landing, catalog.ddl_columns(bids.schema), sep=",")
     name = unique_name("bids_by_year")
     catalog.create_table(spark, name, bids.schema, using="parquet", partitioned_by=["bid_year"])
     select = (
@@ -260,13 +255,8 @@ def ddl_temp_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The view reads text as strings; the varchar lengths are enforced when
     # the rows are written into the bucketed table.
     landing = scratch_path(spark, "landing-quotes")
-    write_as(quotes, landing, "csv", "none", sep="\t", header="true")
-    view = unique_name("tmp_quotes")
-    spark.sql(
-        f"CREATE TEMPORARY VIEW {view} (exchang string, symbo string, date string, "
-        f"close double, volume bigint) USING csv "
-        f"OPTIONS (path '{landing}', sep '\t', header 'true')"
-    )
+    write_as(map_strings(quotes, escape), landing, "csv", "none", sep="\t", header="true", **CSV_QUOTING)
+    view = _text_view(spark, landing, "exchang string, symbo string, date string, close double, volume bigint", sep="\t", header="true")
     name = unique_name("quotes_bucketed")
     spark.sql(
         f"CREATE TABLE {name} (exchang varchar(20), symbo varchar(10), date string, "

@@ -26,13 +26,17 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.session import session_conf
+from shelfwise.session import session_conf, unique_name
 
 
+_UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
 BUCKET_BYTES = 256 * 1024 * 1024
 MAX_BUCKETS = 50_000
 
@@ -42,6 +46,12 @@ def ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def sql_options(options: dict[str, str]) -> str:
+    """``'key' 'value', ...`` for an OPTIONS clause."""
+    literal = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return ", ".join(f"{literal(k)} {literal(str(v))}" for k, v in options.items())
+
+
 def create_table(
     spark: SparkSession,
     name: str,
@@ -56,7 +66,7 @@ def create_table(
     """CREATE TABLE ... USING ... [OPTIONS] [PARTITIONED BY] [LOCATION]."""
     sql = f"CREATE TABLE {name} ({ddl_columns(schema)}) USING {using}"
     if options:
-        sql += " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
+        sql += f" OPTIONS ({sql_options(options)})"
     if partitioned_by:
         sql += " PARTITIONED BY (" + ", ".join(partitioned_by) + ")"
     if location:
@@ -109,6 +119,30 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
         df.write.insertInto(table, overwrite=True)
 
 
+def multi_insert(df: DataFrame, path: str, targets: dict[str, Column]) -> None:
+    """``FROM df INSERT OVERWRITE TABLE a SELECT * WHERE .. INSERT OVERWRITE TABLE b ..`` in one scan.
+
+    ``targets`` maps table names to conditions; a row goes to every table whose
+    condition it meets, or to none.  The rows are written once, below ``path``, in a
+    folder per target, and each target is an external table over its folder: a
+    table of its own that needs no view and no session.  A target that exists
+    is pointed to its new folder, so readers see the old rows or the new ones.
+    """
+    spark, mark = df.sparkSession, "target"
+    while mark.lower() in (c.lower() for c in df.columns):
+        mark = f"_{mark}"
+    chosen = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in targets.items()]))
+    rows = df.withColumn(mark, F.explode(chosen))
+    spread_for_partitioned_write(rows, [mark]).write.partitionBy(mark).parquet(path)
+    for name in targets:
+        folder = f"{path}/{mark}={name}"
+        if spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(name)
+        else:
+            create_table(spark, name, df.schema, location=folder)
+
+
 def buckets_for_bytes(size: int, minimum: int = 1) -> int:
     """Buckets for a table of ``size`` bytes: one per ``BUCKET_BYTES``, at most
     ``MAX_BUCKETS``.
@@ -120,12 +154,23 @@ def buckets_for_bytes(size: int, minimum: int = 1) -> int:
     return min(MAX_BUCKETS, max(minimum, -(-size // BUCKET_BYTES)))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of a query, as ``EXPLAIN COST`` prints it."""
+    spark, view = df.sparkSession, unique_name("sized")
+    df.createTempView(view)
+    try:
+        text = spark.sql(f"EXPLAIN COST SELECT * FROM {view}").first()[0]
+    finally:
+        spark.catalog.dropTempView(view)
+    size, unit = re.search(r"sizeInBytes=([0-9.E+]+) (\w+)", text).groups()
+    return math.ceil(float(size) * 1024 ** _UNITS.index(unit))
+
+
 def bucket_count(*dfs: DataFrame, minimum: int = 1) -> int:
     """Buckets for tables that will be joined on their bucket key, from the
     planner's size of the largest input (file sizes for a scan; nothing is run).
     Tables joined bucket to bucket must share the count."""
-    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in dfs]
-    return buckets_for_bytes(max(sizes), minimum)
+    return buckets_for_bytes(max(map(planned_bytes, dfs)), minimum)
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "parquet") -> str:

@@ -54,6 +54,9 @@ def write_as(
     if fmt == "xml":
         options.setdefault("rowTag", XML_ROW_TAG)
         options.setdefault("rootTag", XML_ROOT_TAG)
+    by = options.pop("partitionBy", None)
+    if by is not None:
+        w = w.partitionBy(by)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
@@ -191,3 +194,66 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     column that is not there is null."""
     have = set(df.columns)
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+# What a text can be read as, one bit each, so that "or" joins the evidence of many rows.
+_INT, _LONG, _DECIMAL, _DOUBLE, _BOOLEAN, _DATE, _TIMESTAMP, _STRING = (1 << k for k in range(8))
+_WHOLE = r"^(0|-?[1-9][0-9]*)$"
+_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+
+
+def _evidence(text: Column, nulls: tuple[str, ...]) -> Column:
+    """The bit of the narrowest type a text can be read as; 0 for null and the null marks."""
+    whole = (
+        F.when(text.try_cast("int").isNotNull(), _INT)
+        .when(text.try_cast("bigint").isNotNull(), _LONG)
+        .when(F.length(text) <= 38, _DECIMAL)
+        .otherwise(_STRING)
+    )
+    return (
+        F.when(text.isNull() | text.isin(*nulls), 0)
+        .when(text.rlike(_WHOLE), whole)
+        .when(text.rlike(_NUMBER), _DOUBLE)
+        .when(F.lower(text).isin("true", "false"), _BOOLEAN)
+        .when(text.rlike(_DAY) & text.try_cast("date").isNotNull(), _DATE)
+        .when(text.rlike(_MOMENT) & text.try_cast("timestamp_ntz").isNotNull(), _TIMESTAMP)
+        .otherwise(_STRING)
+    )
+
+
+def _join(bits: int) -> T.DataType:
+    """The least type that holds everything the bits say; no evidence, or none in common, is a string."""
+    for kind, holds in (
+        (T.IntegerType(), _INT),
+        (T.LongType(), _INT | _LONG),
+        (T.DecimalType(38, 0), _INT | _LONG | _DECIMAL),
+        (T.DoubleType(), _INT | _LONG | _DECIMAL | _DOUBLE),
+        (T.BooleanType(), _BOOLEAN),
+        (T.DateType(), _DATE),
+        (T.TimestampNTZType(), _DATE | _TIMESTAMP),
+    ):
+        if bits and not bits & ~holds:
+            return kind
+    return T.StringType()
+
+
+def infer_schema(rows: DataFrame, nulls: tuple[str, ...] = ("",)) -> T.StructType:
+    """The types of text columns, from all their values.
+
+    Every value votes for the narrowest type it can be read as; votes are bits,
+    joined by ``bit_or``, so one pass with a partial aggregate covers any number of rows and
+    one row of numbers reaches the driver.  The types form a lattice: int < bigint <
+    decimal(38,0) < double, date < timestamp, and string above all.  Whole numbers with
+    leading zeros or a plus sign are codes, not numbers: they stay strings, as
+    nothing would bring the zeros back.
+    """
+    found = rows.agg(*[F.coalesce(F.bit_or(_evidence(F.col(c), nulls)), F.lit(0)).alias(c) for c in rows.columns]).first()
+    return T.StructType([T.StructField(c, _join(found[k])) for k, c in enumerate(rows.columns)])
+
+
+def with_inferred_types(rows: DataFrame, nulls: tuple[str, ...] = ("",)) -> DataFrame:
+    """Text columns as the types :func:`infer_schema` finds; the null marks become null."""
+    schema = infer_schema(rows, nulls)
+    return rows.select(*[F.when(~F.col(f.name).isin(*nulls), F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])

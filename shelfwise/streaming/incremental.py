@@ -54,6 +54,54 @@ def run_available_now(
     return committed_batches(spark, checkpoint_dir) - before
 
 
+def run_remembered(source: DataFrame, target_dir: str, state_dir: str, check_column: str, *, unique: bool = True) -> int:
+    """One run of a saved import job that remembers the last value of its check column.
+
+    Appends the rows of ``source`` above the remembered value and remembers their
+    largest.  Files may land again, under the same or other names: rows up to the
+    remembered value are never taken twice, and the filter reaches the scan, so old
+    row groups are skipped by their statistics.  ``unique`` keeps one row per value
+    when a value arrives twice within one run.
+
+    Each run has a number.  Its rows replace whatever a broken run of that number
+    left in its folder, and only then is its value written, so a run that was
+    lost half-way is done again and nothing is imported twice.  Returns how many runs
+    the job has behind it.
+    """
+    spark = source.sparkSession
+    kind = source.schema[check_column].dataType.simpleString()
+    state = _state(spark, state_dir, kind)
+    runs, last = (state["runs"], state["last"]) if state is not None else (0, None)
+    rows = source.where(F.col(check_column).isNotNull())
+    if last is not None:
+        rows = rows.where(F.col(check_column) > F.lit(last))
+    if unique:
+        rows = rows.dropDuplicates([check_column])
+    folder = f"{target_dir}/run={runs}"
+    rows.write.mode("overwrite").parquet(folder)
+    written = spark.read.schema(source.schema).parquet(folder)
+    found = written.agg(F.max(check_column).alias("last"))
+    known = F.greatest(F.col("last"), F.lit(last).cast(kind)) if last is not None else F.col("last")
+    found.select(F.lit(runs + 1).alias("runs"), known.cast(kind).alias("last")).coalesce(1).write.mode("overwrite").parquet(f"{state_dir}/after={runs}")
+    return runs + 1
+
+
+def _state(spark: SparkSession, state_dir: str, kind: str):
+    """The number of runs and the last value, from the newest complete state; None before the first run."""
+    try:
+        states = spark.read.schema(f"runs int, last {kind}").parquet(state_dir)
+        return states.select("runs", "last").orderBy(F.col("runs").desc()).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_remembered(spark: SparkSession, target_dir: str, schema: T.StructType) -> DataFrame:
+    """All rows the runs of a saved import have appended."""
+    return spark.read.schema(schema).option("basePath", target_dir).option("recursiveFileLookup", "true").parquet(target_dir)
+
+
 def committed_batches(spark: SparkSession, checkpoint_dir: str) -> int:
     """Micro-batches committed under a checkpoint so far.
 

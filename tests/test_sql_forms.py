@@ -13,8 +13,8 @@ from shelfwise.sources.tables import Tables
 
 from conftest import SF01
 
-# The oracle SQL of these keys uses DuckDB functions (strftime, trunc).
-DUCKDB_ONLY = {"cast_price_float", "cast_price_int", "month_key", "epoch_month", "epoch_s_to_string"}
+# The oracle SQL of these keys uses DuckDB functions (strftime, trunc, epoch).
+DUCKDB_ONLY = {"cast_price_float", "cast_price_int", "month_key", "epoch_month", "epoch_s_to_string", "parse_epoch"}
 KEYS = [k for k in analytics.QUERIES if k not in DUCKDB_ONLY]
 
 
