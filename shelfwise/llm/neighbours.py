@@ -16,7 +16,8 @@ No task holds more than one block of either, whatever the table's size, and
 nothing is broadcast.
 
 Defined results: vectors that are null, empty, zero or hold a null or
-non-finite component take no part; vectors of other lengths are not compared;
+non-finite component take no part, others do however large or small their
+components are; vectors of other lengths are not compared;
 a row with the query's own id is no candidate; equal cosines rank by smaller
 id; with fewer than ``k`` candidates all are returned; an empty table gives an
 empty result.  Null ids take no part (they cannot be queried or named).
@@ -43,11 +44,19 @@ START = 0.4
 WIDEN = 1.25
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to [0.5, 1).
+
+    That changes no bit of a cosine, and squares neither vanish nor overflow."""
+    _, exponent = np.frexp(np.abs(vectors).max(1))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 class SortedProjections:
     """The index of one block of vectors."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, projections: int = PROJECTIONS, seed: int = 3):
-        self.vectors, self.ids = vectors, ids
+        self.vectors, self.ids = vectors, ids = scaled(vectors), ids
         self.norms = np.sqrt((vectors * vectors).sum(1))
         self.lines = np.random.default_rng(seed).normal(size=(vectors.shape[1], projections))
         at = ((vectors / self.norms[:, None]) @ self.lines).T
@@ -60,7 +69,7 @@ class SortedProjections:
             yield from self._search(queries[first : first + at_once], owns[first : first + at_once], k, share, enough)
 
     def _search(self, queries, owns, k, share, enough):
-        n, lines = len(self.ids), len(self.sorted)
+        n, lines, queries = len(self.ids), len(self.sorted), scaled(queries)
         norms = np.sqrt((queries * queries).sum(1))
         centres = ((queries / norms[:, None]) @ self.lines).T
         need, least = min(n, k + 1 + max(LEAST, math.ceil(enough * n))), math.ceil(share * lines)

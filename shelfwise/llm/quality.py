@@ -175,16 +175,24 @@ def _extract(batches):
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars", label: str = "quality", sample: int = SAMPLE) -> Machine:
-    """Fit on the ``sample`` labelled rows of smallest hash; all labels given are training labels."""
+    """Fit on the ``sample`` labelled ids of smallest hash; all labels given are training labels.
+
+    An id with several labels has the smallest of them, an id with several
+    documents the one of the smallest text hash, and rows are learned in the order of
+    their ids' hashes, so the machine does not depend on how the tables are laid out.
+    """
     chosen = (
         labels.select(labels[doc_id].alias("_id"), labels[label].cast("int").alias("label"))
         .where("label IN (0, 1) AND _id IS NOT NULL")
-        .orderBy(F.xxhash64("_id"), "_id", "label")
+        .groupBy("_id")
+        .agg(F.min("label").alias("label"))
+        .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
-    picked = docs.select(docs[doc_id].alias("_doc"), docs[text].cast("string").alias("text"), docs[n_chars].cast("double").alias("n_chars"))
-    rows = picked.join(F.broadcast(chosen.dropDuplicates(["_id"])), F.col("_doc") == F.col("_id")).dropDuplicates(["_id"])
-    got = rows.select("text", "n_chars", "label").mapInArrow(_extract, "label int, number array<int>, weight array<float>").toPandas()
+    picked = docs.select(docs[doc_id].alias("_doc"), F.struct(F.xxhash64(docs[text].cast("string")), docs[text].cast("string").alias("text"), docs[n_chars].cast("double").alias("n_chars")).alias("row"))
+    rows = picked.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).groupBy("_id", "label").agg(F.min("row").alias("row"))
+    ordered = rows.orderBy(F.xxhash64("_id"), "_id").select("row.text", "row.n_chars", "label")
+    got = ordered.mapInArrow(_extract, "label int, number array<int>, weight array<float>").toPandas()
     y = got["label"].to_numpy(float)
     share = (y.sum() + 0.5) / (len(y) + 1.0) if len(y) else 0.5
     machine = Machine(float(np.log(share / (1 - share))))
