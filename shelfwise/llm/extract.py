@@ -22,8 +22,8 @@ most of the rest (or no neighbour is known), only its lines stay.
 How the work is spread.  Distinct (host, path with query) keys are put in order by a range
 shuffle and numbered, so a host that holds a third of all pages is cut like any
 other; neighbours are found by joins on that number, and only line hashes of
-one page per key travel to them.  Page texts are shuffled once, to meet their
-neighbours' hashes; that join's right side is unique, so Spark can split a hot
+one page per key travel to them.  Page texts are shuffled once, compressed, to meet
+their neighbours' hashes; that join's right side is unique, so Spark can split a hot
 path.
 
 Defined results: null or empty html gives an empty text; a page without a URL
@@ -38,6 +38,7 @@ import hashlib
 import html
 import os.path
 import re
+import zlib
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -304,7 +305,7 @@ def _parsed(batches):
                 batch.column(1),
                 pa.array([k[0] for k in keys], pa.string()),
                 pa.array([k[1] for k in keys], pa.string()),
-                pa.array(["\n".join(t for t, _ in x) for x in lines], pa.string()),  # no line holds a line end
+                pa.array([zlib.compress("\n".join(t for t, _ in x).encode(), 6) for x in lines], pa.binary()),  # no line holds a line end
                 pa.array(["".join(str(m) for _, m in x) for x in lines], pa.string()),
             ],
             ["page_id", "url", "host", "path", "lines", "marks"],
@@ -323,7 +324,7 @@ def _extracted(batches):
         texts, line_count, deleted = [], [], []
         for k in range(batch.num_rows):
             marks = columns["marks"][k]
-            lines = list(zip(columns["lines"][k].split("\n"), map(int, marks), strict=True)) if marks else []
+            lines = list(zip(zlib.decompress(columns["lines"][k]).decode().split("\n"), map(int, marks), strict=True)) if marks else []
             around = [(columns["path_before"][k], columns["hashes_before"][k]), (columns["path_after"][k], columns["hashes_after"][k])]
             text, n = main_text(lines, [line_hash(t) for t, _ in lines], _nearest_first(columns["path"][k], around))
             texts.append(text)
@@ -363,8 +364,8 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", bod
     keyed = picked.mapInArrow(_keys, f"page_id {kind}, host string, path string, hashes array<long>, content long").where("host IS NOT NULL")
     chosen = F.min_by(F.struct("hashes", "content"), F.struct(F.col("page_id").isNull(), "page_id", "hashes")).alias("page")
     first = written(keyed.groupBy("host", "path").agg(chosen).select("host", "path", "page.hashes", "page.content"), "page-lines")
-    near = _neighbours(written(in_order(first, F.col("host"), F.col("path")), "page-places"))
-    parsed = picked.mapInArrow(_parsed, f"page_id {kind}, url string, host string, path string, lines string, marks string")
+    near = _neighbours(in_order(first, F.col("host"), F.col("path")))
+    parsed = picked.mapInArrow(_parsed, f"page_id {kind}, url string, host string, path string, lines binary, marks string")
     joined = parsed.join(near, ["host", "path"], "left")
     order = ["page_id", "url", "host", "path", "lines", "marks", "path_before", "hashes_before", "path_after", "hashes_after"]
     return joined.select(*order).mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars long, n_lines long, n_shared long")
