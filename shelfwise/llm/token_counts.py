@@ -22,6 +22,8 @@ are independent; long texts cost time in proportion to their length.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -146,24 +148,30 @@ class PrefixCounts:
         spelled = (BLANK + text.replace(" ", BLANK)).replace("\n", "\0\n")
         return [run for line in spelled.split("\0") for run in _RUNS.findall(line)] if "\0" not in text else _RUNS.findall(spelled.replace("\0\n", "\n"))
 
+    def sized(self, text: str) -> tuple[list[str], list[int]]:
+        """The runs of a text and the tokens of each."""
+        runs = self.runs(text)
+        sizes = list(map(self.totals.young.get, runs))
+        if None in sizes:
+            sizes = [n if n is not None else self.total(run) for n, run in zip(sizes, runs, strict=True)]
+        return runs, sizes
+
     def count(self, text: str) -> int:
         """Tokens of the whole text."""
-        runs = self.runs(text)
-        known = list(map(self.totals.young.get, runs))
-        if None not in known:
-            return sum(known)
-        return sum(n if n is not None else self.total(run) for n, run in zip(known, runs, strict=True))
+        return sum(self.sized(text)[1])
 
     def cut(self, text: str, budget: int) -> int:
         """Characters in the longest prefix of at most ``budget`` tokens."""
-        used, at = 0, -1  # the leading blank of the spelling is not in the text
-        for run in self.runs(text):
-            n = self.total(run)
-            if used + n > budget:
-                table = self.table(run)
-                fits = [k for k, c in enumerate(table) if used + c <= budget]
-                return max(0, at + fits[-1])
-            used, at = used + n, at + len(run)
+        return self.cut_runs(*self.sized(text), budget)
+
+    def cut_runs(self, runs: list[str], sizes: list[int], budget: int) -> int:
+        """The same, of a text given as its runs and their tokens."""
+        upto = list(accumulate(sizes, initial=0))
+        whole = bisect_right(upto, budget) - 1  # runs that fit
+        at = sum(map(len, runs[:whole])) - 1  # the leading blank of the spelling is not in the text
+        if whole < len(runs):
+            table = self.table(runs[whole])
+            at += max(k for k, c in enumerate(table) if upto[whole] + c <= budget)
         return max(0, at)
 
 
@@ -180,8 +188,9 @@ def _count(batches, vocabulary: str, budget: int):
         cut = np.zeros(batch.num_rows, np.int64)
         for k, text in enumerate(batch.column(1)):
             text = text.as_py() or ""
-            size[k] = counter.count(text)
-            cut[k] = counter.cut(text, budget) if size[k] > budget else len(text)
+            runs, sizes = counter.sized(text)
+            size[k] = sum(sizes)
+            cut[k] = counter.cut_runs(runs, sizes, budget) if size[k] > budget else len(text)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(size), pa.array(cut)], ["doc_id", "n_bytes", "n_tokens", "cut_chars"])
 
 
