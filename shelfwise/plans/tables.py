@@ -26,6 +26,7 @@ STATIC_PARTITION_VALUE = "21"
 MIN_BUCKETS = 4
 EXCHANGE_BUCKETS = 40
 LOOKUP_CUSTOMER = 899
+LOOKUP_DAY = "1995-06-17"
 
 
 def ddl_load_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +240,19 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ddl_bucketed_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers bucketed on their nation, a key of few values that each fill more
+    than a bucket: heavy keys are salted, and the join with the nations still
+    needs no exchange."""
+    t = Tables(spark, sf_dir)
+    c_name, n_name = unique_name("customer_salted"), unique_name("nation_salted")
+    customers = t.customer.select("c_custkey", "c_acctbal", F.col("c_nationkey").alias("nation_key"))
+    nations = t.nation.select(F.col("n_nationkey").alias("nation_key"), "n_name")
+    catalog.save_bucketed_pair(customers, nations, c_name, n_name, "nation_key", catalog.bucket_count(customers, minimum=EXCHANGE_BUCKETS))
+    joined = catalog.join_bucketed_pair(spark, c_name, n_name, "nation_key")
+    return joined.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
 def ddl_temp_view_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-delimited file with a header -> temporary view over it (no copy)
     -> ``FROM view INSERT OVERWRITE TABLE`` into a table clustered by the
@@ -275,6 +289,20 @@ def lookup_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("o_custkey") == F.lit(LOOKUP_CUSTOMER))
 
 
+def lookup_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A look-up on a column the files are not sorted by: orders laid out by
+    customer, looked up by day through bitmaps of the files that hold each day."""
+    orders = Tables(spark, sf_dir).orders.withColumn("order_day", F.to_date("o_orderdate"))
+    path, manifest = scratch_path(spark, "orders-by-customer"), scratch_path(spark, "orders-manifest")
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    catalog.write_lookup_layout(orders, path, "o_custkey", files, spread_by=["o_orderkey"])
+    catalog.write_value_manifest(spark, path, manifest, "order_day")
+    day = F.lit(LOOKUP_DAY).cast("date")
+    named = catalog.files_with(spark, manifest, LOOKUP_DAY)
+    found = spark.read.schema(orders.schema).parquet(*named) if named else orders.where("false")
+    return found.where(F.col("order_day") == day)
+
+
 QUERIES = {
     "ddl_load_text": ddl_load_text,
     "ddl_external": ddl_external,
@@ -288,8 +316,10 @@ QUERIES = {
     "ddl_decimal_partition": ddl_decimal_partition,
     "ddl_static_partition": ddl_static_partition,
     "ddl_bucketed": ddl_bucketed,
+    "ddl_bucketed_skewed": ddl_bucketed_skewed,
     "ddl_temp_view_bucketed": ddl_temp_view_bucketed,
     "lookup_layout": lookup_layout,
+    "lookup_manifest": lookup_manifest,
 }
 
 _BY_MONTH = """
@@ -330,9 +360,13 @@ ORACLE_SQL = {
         select o_orderstatus as order_status, count(*) as n_lines,
                count(distinct o_orderkey) as n_orders, round(sum(l_extendedprice), 2) as total_amount
         from orders join lineitem on o_orderkey = l_orderkey group by o_orderstatus""",
+    "ddl_bucketed_skewed": """
+        select n_name, count(*) as n_customers, round(sum(c_acctbal), 2) as balance
+        from customer join nation on c_nationkey = n_nationkey group by n_name""",
     "ddl_temp_view_bucketed": """
         select event_type as exchang, cast(user_id as varchar) as symbo,
                strftime(ts, '%Y-%m-%d') as date, value as close, event_id as volume
         from events""",
+    "lookup_manifest": f"select *, cast(o_orderdate as date) as order_day from orders where cast(o_orderdate as date) = date '{LOOKUP_DAY}'",
     "lookup_layout": f"select * from orders where o_custkey = {LOOKUP_CUSTOMER}",
 }

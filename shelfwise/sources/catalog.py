@@ -191,6 +191,78 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "
     return name
 
 
+def heavy_keys(df: DataFrame, key: str, share: float, tracked: int = 10_000) -> dict:
+    """Keys with more than ``share`` of all rows, and their exact counts.
+
+    Candidates come from a mergeable frequent-items sketch, which misses none
+    whose share is above about 1 / ``tracked``; a second pass counts them exactly.
+    At most 1 / ``share`` keys reach the driver.
+    """
+    k = max(1, min(tracked // 2, math.ceil(1 / share)))
+    found = df.agg(F.expr(f"approx_top_k(`{key}`, {k}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    named = [r["item"] for r in found["top"] or [] if r["item"] is not None]
+    if not named:
+        return {}
+    counts = df.where(F.col(key).isin(named)).groupBy(key).count().where(F.col("count") > share * found["n"])
+    return {r[key]: (r["count"], found["n"]) for r in counts.collect()}
+
+
+SALT = "bucket_salt"
+_FINE = 8  # salts per bucket that a heavy key would fill: chunks small enough to fall evenly
+
+
+def save_bucketed_pair(large: DataFrame, small: DataFrame, large_name: str, small_name: str, key: str, buckets: int) -> dict:
+    """Two tables bucketed on ``key`` for a join without exchange, whatever share of ``large`` one key holds.
+
+    A key with more than an eighth of a bucket is heavy: its rows in ``large``
+    are cut into chunks of that size by a hash of the row, numbered in a salt
+    column, and its rows in ``small`` are there once per chunk.  Both tables are bucketed and
+    sorted on (key, salt), so a heavy key spreads over the buckets as many
+    keys would.  Other keys have salt 0 on both sides.  Returns the chunks per heavy key.
+    """
+    heavy = {k: math.ceil(_FINE * n * buckets / total) for k, (n, total) in heavy_keys(large, key, 1 / (_FINE * buckets)).items()}
+    kind = large.schema[key].dataType
+    chunks = F.lit(1)
+    if heavy:
+        listed = F.create_map(*[x for k, n in heavy.items() for x in (F.lit(k).cast(kind), F.lit(n))])
+        chunks = F.when(F.col(key).isNotNull(), F.coalesce(F.element_at(listed, F.col(key)), F.lit(1))).otherwise(1)
+    salted = large.withColumn(SALT, F.pmod(F.xxhash64(*large.columns), chunks).cast("int"))
+    spread = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), chunks - 1)))
+    for df, name in ((salted, large_name), (spread, small_name)):
+        df.repartition(buckets, key, SALT).write.bucketBy(buckets, key, SALT).sortBy(key, SALT).saveAsTable(name)
+    return heavy
+
+
+def join_bucketed_pair(spark: SparkSession, large_name: str, small_name: str, key: str) -> DataFrame:
+    """The inner join of two tables saved by :func:`save_bucketed_pair`; no row is shuffled."""
+    return spark.table(large_name).join(spark.table(small_name).hint("merge"), [key, SALT]).drop(SALT)
+
+
+def write_value_manifest(spark: SparkSession, files: str, path: str, column: str) -> None:
+    """For every value of ``column`` the files below ``files`` that hold it, as bitmaps over file numbers.
+
+    One pass over one column: file numbers are the order of the file names from 1,
+    bits are set by a mergeable aggregate (a map-side bitmap per value), and the rows
+    are sorted by value, so a look-up reads a few row groups.  The file names are
+    kept beside them.
+    """
+    rows = spark.read.parquet(files).select(F.col(column).alias("value"), F.col("_metadata.file_path").alias("file"))
+    names = sorted(r[0] for r in rows.select("file").distinct().collect())  # as the driver's own listing has them
+    numbered = spark.createDataFrame([(n, i) for i, n in enumerate(names, 1)], "file string, number long")
+    numbered.coalesce(1).write.parquet(f"{path}/files")
+    bits = rows.distinct().join(F.broadcast(numbered), "file").select("value", F.bitmap_bucket_number("number").alias("block"), F.bitmap_bit_position("number").alias("bit"))
+    found = bits.groupBy("value", "block").agg(F.bitmap_construct_agg("bit").alias("files"))
+    found.repartitionByRange("value").sortWithinPartitions("value").write.option("parquet.bloom.filter.enabled#value", "true").parquet(f"{path}/values")
+
+
+def files_with(spark: SparkSession, path: str, value) -> list[str]:
+    """The files that hold ``value``, from a manifest; their bitmaps are all that is read."""
+    rows = spark.read.parquet(f"{path}/values").where(F.col("value") == F.lit(value)).collect()  # one row per 32,768 files
+    numbers = [(r["block"] - 1) * 32_768 + 8 * k + bit + 1 for r in rows for k, byte in enumerate(r["files"]) if byte for bit in range(8) if byte >> bit & 1]
+    names = spark.read.parquet(f"{path}/files").where(F.col("number").isin(numbers)).select("file").collect() if numbers else []
+    return sorted(r[0] for r in names)
+
+
 def write_lookup_layout(
     df: DataFrame,
     path: str,
