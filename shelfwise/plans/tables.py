@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from shelfwise.plans import analytics
 from shelfwise.session import scratch_path, session_conf, unique_name
-from shelfwise.sources import catalog
+from shelfwise.sources import catalog, sequence
 from shelfwise.sources.formats import CSV_QUOTING, escape, map_strings, unescape, write_as
 from shelfwise.sources.tables import Tables
 
@@ -202,6 +202,15 @@ def ddl_decimal_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def ddl_decimal_partition_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table stored as SequenceFile: a folder per decimal year, the
+    year read back from the folder's name."""
+    bids = _bids_by_year(Tables(spark, sf_dir).orders)
+    path = scratch_path(spark, "bids-by-year-sequence")
+    sequence.write_sequence_partitions(bids, path, "bid_year")
+    return sequence.read_sequence_partitions(spark, path, bids.schema, "bid_year")
+
+
 def ddl_static_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """INSERT INTO t PARTITION (load_day='21') SELECT ..."""
     orders = Tables(spark, sf_dir).orders
@@ -314,6 +323,7 @@ QUERIES = {
     "ddl_multi_insert": ddl_multi_insert,
     "ddl_dynamic_partition": ddl_dynamic_partition,
     "ddl_decimal_partition": ddl_decimal_partition,
+    "ddl_decimal_partition_sequence": ddl_decimal_partition_sequence,
     "ddl_static_partition": ddl_static_partition,
     "ddl_bucketed": ddl_bucketed,
     "ddl_bucketed_skewed": ddl_bucketed_skewed,
@@ -328,6 +338,11 @@ _BY_MONTH = """
            strftime(o_orderdate, '%Y-%m') as order_month
     from orders"""
 
+_BIDS = """
+        select o_orderkey as bid_id, o_custkey as auction_id, o_totalprice as price,
+               o_orderstatus as status, cast(year(o_orderdate) as decimal(10,0)) as bid_year
+        from orders"""
+
 ORACLE_SQL = {
     "ddl_load_text": "select * from part",
     "ddl_external": "select * from supplier",
@@ -349,10 +364,8 @@ ORACLE_SQL = {
         union all
         select * from (select * from m where order_month = (select min(order_month) from m)
                        order by order_id limit 1)""",
-    "ddl_decimal_partition": """
-        select o_orderkey as bid_id, o_custkey as auction_id, o_totalprice as price,
-               o_orderstatus as status, cast(year(o_orderdate) as decimal(10,0)) as bid_year
-        from orders""",
+    "ddl_decimal_partition": _BIDS,
+    "ddl_decimal_partition_sequence": _BIDS,
     "ddl_static_partition": f"""
         select o_orderkey, o_custkey, o_orderstatus, '{STATIC_PARTITION_VALUE}' as load_day
         from orders""",

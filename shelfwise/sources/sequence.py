@@ -10,10 +10,14 @@ values would become ``ArrayWritable``, which cannot be read back.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote, unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.session import scratch_path
 from shelfwise.sources.formats import delimited_fields, delimited_value, field_text, parse_delimited_lines, typed_field
 
 # Hadoop class names used at the SequenceFile boundary.
@@ -28,6 +32,8 @@ CODEC_CLASSES = {
     "snappy": "org.apache.hadoop.io.compress.SnappyCodec",
 }
 
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 KV_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
@@ -88,3 +94,53 @@ def sequence_to_table(kv: DataFrame, schema: T.StructType, *, key_first: bool =
         return parse_delimited_lines(kv, sep, schema)
     first, rest = schema.fields[0], T.StructType(schema.fields[1:])
     return kv.select(typed_field(F.col("key"), first, sep), *delimited_fields(F.col("value"), sep, rest))
+
+
+def write_sequence_partitions(df: DataFrame, path: str, by: str, **options) -> list:
+    """A SequenceFile folder ``by=value`` for every value of ``by``, as a partitioned
+    table stored as SequenceFile has; the values.
+
+    SequenceFiles are written one folder at a time, so the rows are first dealt
+    into partitions in one pass (a Parquet table in the shared scratch folder), and
+    each folder is then written from its own partition alone.  ``by`` has as many
+    values as the table has partitions, a few thousand at most.
+    """
+    spark, kind = df.sparkSession, df.schema[by].dataType
+    staged = scratch_path(spark, "sequence-partitions")
+    df.hint("rebalance", by).write.partitionBy(by).parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    values = sorted((r[0] for r in rows.select(by).distinct().collect()), key=lambda v: (v is not None, v))
+    for value in values:
+        own = rows.where(F.col(by).eqNullSafe(F.lit(value).cast(kind))).drop(by)
+        write_sequence(own, f"{path}/{by}={_folder(value)}", **options)
+    return values
+
+
+def _folder(value) -> str:
+    return DEFAULT_PARTITION if value is None else quote(str(value), safe="")
+
+
+def sequence_partitions(spark: SparkSession, path: str, by: str, kind: T.DataType) -> dict:
+    """Value -> folder of a partitioned SequenceFile table, from the names of its folders."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    name = F.regexp_extract("path", rf"/{re.escape(by)}=([^/]+)/[^/]+$", 1)
+    texts = sorted(r[0] for r in files.select(name).distinct().collect() if r[0])
+    plain = [(t, None if t == DEFAULT_PARTITION else unquote(t)) for t in texts]
+    typed = spark.createDataFrame(plain, "folder string, value string").select("folder", F.col("value").cast(kind).alias("value"))
+    return {r["value"]: f"{path}/{by}={r['folder']}" for r in typed.collect()}
+
+
+def read_sequence_partitions(spark: SparkSession, path: str, schema: T.StructType, by: str, values: list | None = None, *, key_first: bool = True, sep: str = "|") -> DataFrame:
+    """The rows of a partitioned SequenceFile table; ``by`` comes from the folders' names.
+
+    With ``values`` only their folders are opened.
+    """
+    kind, rest = schema[by].dataType, T.StructType([f for f in schema.fields if f.name != by])
+    folders = sequence_partitions(spark, path, by, kind)
+    wanted = folders if values is None else {v: f for v, f in folders.items() if v in values}
+    table = None
+    for value, folder in wanted.items():
+        rows = sequence_to_table(read_sequence(spark, folder, key_class=TEXT if key_first else NULL_WRITABLE), rest, key_first=key_first, sep=sep)
+        rows = rows.withColumn(by, F.lit(value).cast(kind)).select(*schema.names)
+        table = rows if table is None else table.unionByName(rows)
+    return table if table is not None else spark.createDataFrame([], schema)
