@@ -66,14 +66,18 @@ _BODY_TAGS = {"article", "main"}
 _BOILER_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments respond reply replies disqus footer header masthead share sharing "
-    "social related recommended widget login signup search toolbar pagination pager copyright".split()
+    "social related recommended widget login signup search toolbar pagination pager copyright responses".split()
 )
 #: Words beside which a boilerplate name still names boilerplate (share-buttons); any other makes it another name (related-work).
 _PLAIN_NAMES = set(
-    "area bar block bottom box btn button buttons container content form group inner left link links list outer panel right section thread title top wrap wrapper".split()
+    "area bar block body bottom box btn button buttons container content form group inner item left link links list outer page panel reader readers right section site slot thread title top unit "
+    "user users visitor visitors wrap wrapper".split()
 )
 #: Lists of these hold article elements that are not the page's article.
-_LIST_NAMES = set("comment comments respond reply replies disqus related recommended".split())
+_LIST_NAMES = set("comment comments respond reply replies responses disqus related recommended".split())
+#: Reader comments and adverts are these on any block and by id too, also inside an article.
+_FOREIGN_NAMES = set("comment comments respond reply replies responses disqus ad ads adv advert adverts advertisement advertising adsense sponsor sponsored".split())
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _BOXES = {"div", "aside", "section", "ul", "ol", "dl", "table", "figure", "span"}
 _BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "alertdialog", "menu", "menubar"}
@@ -96,15 +100,18 @@ def _mark(name: str, attributes: str, in_body: bool) -> int:
         return BOILER
     if "=" in attributes or "hidden" in attributes:
         found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-        if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in _BOILER_ROLES:
+        if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in _BOILER_ROLES or _HIDDEN.search(found.get("style", "")):
             return BOILER
         if name in _BODY_TAGS or found.get("role") in ("main", "article") or found.get("itemprop") == "articlebody":
             return BODY
-        if name not in ("html", "body") and (name in _BOXES or not in_body):
-            whole = found.get("class", "").split()
-            if not in_body and name not in _HEADINGS:  # ids in an article and of headings are anchors
-                whole += found.get("id", "").split()
-            named = set().union(*map(_boiler_name, whole)) - ({"header"} if in_body else set())
+        if name not in ("html", "body"):
+            classes, ids = (set().union(*map(_boiler_name, found.get(c, "").split())) for c in ("class", "id"))
+            if not in_body:
+                named = classes if name in _HEADINGS else classes | ids
+            else:  # most ids in an article are anchors, and its small elements have names of their own
+                named = (classes if name in _BOXES else set()) - {"header"}
+                if name not in _INLINE | _HEADINGS | {"pre"}:
+                    named |= (classes | (ids if name in _BOXES else set())) & _FOREIGN_NAMES
             if named:
                 return BOILER if named & _LIST_NAMES else NAMED
     return BODY if name in _BODY_TAGS else FREE

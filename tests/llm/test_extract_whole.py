@@ -61,3 +61,48 @@ def test_runs_of_copies_find_the_next_page(spark):
 def test_teasers_are_not_the_story():
     one, two = (f"<div>Top</div><div><p>{f'story {k} at length ' * 9}</p></div><article>teaser {k}</article><article>card {k}</article>" for k in range(2))
     assert _text(one, two) == f"{('story 0 at length ' * 9).strip()}\n\nteaser 0\n\ncard 0"
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        '<div id="comments">GONE</div>',
+        '<div class="user-comments">GONE</div>',
+        '<section id="user-comments"><p>GONE</p></section>',
+        '<div id="responses"><p>GONE</p></div>',
+        '<ol><li class="comment">GONE</li></ol>',
+        '<p class="advert">GONE</p>',
+        '<p class="ad">GONE</p>',
+        '<div class="ad-slot">GONE</div>',
+        '<div class="site-notice">GONE</div>',
+        '<div style="color: red; display: none">GONE</div>',
+        '<p style="display:none">GONE</p>',
+        '<span style="visibility:hidden">GONE</span>',
+    ],
+)
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_comments_adverts_and_hidden_text_in_an_article(block, around):
+    page = f"<html><body><nav>menu</nav><{around}><h1>Title</h1><p>First.</p>{block}<p>Last.</p></{around}><footer>end</footer></body></html>"
+    assert ex.main_text(ex.read_lines(page), [ex.line_hash(t) for t, _ in ex.read_lines(page)], [])[0] == "Title\n\nFirst.\n\nLast."
+
+
+@pytest.mark.parametrize(
+    "block, text",
+    [
+        ('<h2 id="related-work">Kept</h2>', "Kept"),
+        ('<h2 id="comments">Kept</h2>', "Kept"),
+        ('<section id="search"><p>Kept</p></section>', "Kept"),
+        ('<p id="notice">Kept</p>', "Kept"),
+        ('<p id="ad">Kept</p>', "Kept"),
+        ('<p class="address">Kept</p>', "Kept"),
+        ('<p class="comment-theory">Kept</p>', "Kept"),
+        ('<div class="badge ads-history">Kept</div>', "Kept"),
+        ('<pre><code>x <i class="comment"># Kept</i></code></pre>', "x # Kept"),
+        ('<p style="display: block">Kept</p>', "Kept"),
+        ('<p class="response">Kept</p>', "Kept"),
+    ],
+)
+def test_names_that_only_look_like_boilerplate(block, text):
+    page = f"<html><body><article><p>First.</p>{block}<p>Last.</p></article></body></html>"
+    lines = ex.read_lines(page)
+    assert ex.main_text(lines, [ex.line_hash(t) for t, _ in lines], [])[0] == f"First.\n\n{text}\n\nLast."
