@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import scratch_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def reachable(spark: SparkSession) -> SparkSession:
