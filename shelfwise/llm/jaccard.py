@@ -16,13 +16,14 @@ bucket of equal keys.  Identical sets are one set from the start.
 
 Counting.  A candidate pair's overlap is counted per fragment of a coarse cut
 of the same order, each on its own, and the partial counts are summed per pair.
-Before that, a sketch of one byte per fine fragment bounds it: two segments
+Of a pair the set of more pairs is salted, so neither side is hot.  Before
+counting, a sketch of one byte per fine fragment bounds it: two segments
 whose bytes differ hold at least one shingle that is not shared, so a pair with
 more unequal bytes than D cannot link.  The bound is certain, never a guess.
 
 Which pairs.  Only components are asked for, so no bucket is expanded into all
-its pairs.  In a few rounds the members of a bucket are put in an order;
-neighbours of different components are counted and the links found merge
+its pairs.  In a few rounds the members of a bucket are put in an order (a bucket
+of more than ``CHAIN`` members in several, other ones each round); neighbours of different components are counted and the links found merge
 components.  Orders change from round to round.  Then the pairs still open --
 members of a bucket outside its largest component, against members of other
 components -- are all bounded by their sketches, in blocks of at most about
@@ -32,8 +33,7 @@ pair that might link is left out.
 How the work is spread.  Keys and set numbers are shuffled, 16 bytes each.
 Shingles are only shuffled for sets that share a bucket: a broadcast bitmap of
 fixed size (8 MB) keeps most others out of the shuffle, the join the rest.  The
-sets are kept in a table bucketed by set number.  A set with very many pairs is
-salted.  Components of links come from alternating star contractions, which
+sets are kept in a table bucketed by set number.  Components of links come from alternating star contractions, which
 only join and group (with map-side combining), over written tables.
 
 Defined results: null, empty and blank texts have the empty set, linked with
@@ -61,7 +61,8 @@ PERCENT = 90
 SPARE = 2
 COARSE = 8
 BITS = 26
-FAN_OUT = 1000
+FAN_OUT = 256
+CHAIN = 1 << 16
 ROUNDS = 2
 CHUNK = 1024
 
@@ -316,13 +317,26 @@ def _open_pairs(batches, percent: int):
         yield out(list(pairs(held)))
 
 
+def _turned(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the set of more pairs as ``a``, and the salts ``a`` needs.
+
+    No ``b`` has then more than the square root of twice the number of pairs:
+    each of its partners has as many as itself.
+    """
+    degrees = pairs.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count(F.lit(1)).alias("n"))
+    for side in "ab":
+        pairs = pairs.join(degrees.select(F.col("set").alias(side), F.col("n").alias(f"n_{side}")), side)
+    more = F.col("n_b") > F.col("n_a")
+    hub, other = F.when(more, F.col("b")).otherwise(F.col("a")), F.when(more, F.col("a")).otherwise(F.col("b"))
+    return written(pairs.select(hub.alias("a"), other.alias("b"), F.ceil(F.greatest("n_a", "n_b") / FAN_OUT).cast("int").alias("salts")), "turned-pairs")
+
+
 def _count_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (a, b) those that link."""
-    spread = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN_OUT).cast("int").alias("salts"))
-    left = spread.join(sets, F.col("a") == F.col("set")).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("segments").alias("left"))
+    turned = _turned(pairs)
+    left = turned.select("a", "salts").distinct().join(sets, F.col("a") == F.col("set")).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("segments").alias("left"))
     right = (
-        pairs.join(spread, "a")
-        .withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
+        turned.withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
         .join(sets, F.col("b") == F.col("set"))
         .select("a", "b", "salt", F.col("segments").alias("right"))
     )
@@ -341,11 +355,10 @@ class _Linker:
         self.part_of = members.select("set").distinct().select("set", F.col("set").alias("component"))
 
     def open_members(self) -> DataFrame:
-        """Members of buckets that still hold more than one component."""
-        bucket = Window.partitionBy("key")
+        """Members of buckets that still hold more than one component, and ``n``, how many are in the bucket."""
         placed = self.members.join(self.part_of, "set")
-        ends = placed.withColumn("lo", F.min("component").over(bucket)).withColumn("hi", F.max("component").over(bucket))
-        return ends.where("lo <> hi").drop("lo", "hi")
+        ends = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+        return placed.join(ends.where("lo <> hi").select("key", "n"), "key")
 
     def merge(self, pairs: DataFrame) -> bool:
         """Count pairs (a, b) that their sketches allow; whether that merged components."""
@@ -393,7 +406,8 @@ class _Linker:
     def run(self) -> DataFrame:
         for turn in range(ROUNDS):
             order = [F.col("set")] if turn == 0 else [F.xxhash64("set", "key", F.lit(turn)), F.col("set")]
-            row = Window.partitionBy("key").orderBy(*order)
+            chain = F.pmod(F.xxhash64("set", F.lit(turn)), F.ceil(F.col("n") / CHAIN))
+            row = Window.partitionBy("key", chain).orderBy(*order)
             beside = self.open_members().select("set", "component", F.lag("set").over(row).alias("a"), F.lag("component").over(row).alias("other"))
             if not self.merge(self.bounded(beside.where("a IS NOT NULL AND other <> component").select("a", F.col("set").alias("b")))):
                 break

@@ -21,8 +21,9 @@ length in every language, whatever the script.
 Bounds.  Trees are fitted on at most ``sample`` distinct labelled texts per
 language, those of the smallest hashes, so it is the same sample on every
 cluster, copies weigh nothing and every language with a text is learned.
-One table takes 10 MB; ``BLOCK`` languages are broadcast at a time, and more
-languages are scored in further passes over a written table.
+One table takes 10 MB.  The driver holds 2 KB per language; counts stay in a
+written table, from which ``BLOCK`` languages at a time are laid out and
+broadcast, and more languages are scored in further passes over a written table.
 
 Defined results: a null text, a text without a letter, and every text when
 nothing could be learned is ``und`` with score 0; ties go to the smaller
@@ -131,12 +132,27 @@ def code_lengths(strings_seen: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Language names in order; of each the symbols of bytes, the bits of its
-    rare bytes and a table of code lengths."""
+    """Language names in order, per language the symbols of bytes and the bits
+    of its rare bytes, and the table (lang, string, n) of counted strings."""
 
-    def __init__(self, parts: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        self.languages = sorted(parts)
-        self.parts = [parts[x] for x in self.languages]
+    def __init__(self, letters: dict[str, tuple[np.ndarray, np.ndarray]], counts: DataFrame):
+        self.languages = sorted(letters)
+        self.letters = letters
+        self.counts = counts
+
+    def laid_out(self, languages: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Symbols, rare bits and table of code lengths of some languages, one block of them."""
+        held = dict(list(self.counts.where(F.col("lang").isin(languages)).toPandas().groupby("lang")))
+        return [(*self.letters[x], code_lengths(held[x]["string"].to_numpy(), held[x]["n"].to_numpy())) for x in languages]
+
+    def blocks(self) -> list[list[str]]:
+        return [self.languages[k : k + BLOCK] for k in range(0, len(self.languages), BLOCK)]
+
+    @property
+    def parts(self):
+        """The same of all languages in turn, a block in memory at a time."""
+        for languages in self.blocks():
+            yield from self.laid_out(languages)
 
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
@@ -149,7 +165,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int
     near = place < F.lit(2.0 * sample + 100) / F.col("n")  # a few more than the sample, however large the language
     order = Window.partitionBy("lang").orderBy(place, "hash")
     taken = distinct.join(sizes, "lang").where(near).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample).select("lang", "hash")
-    chosen = hashed.join(F.broadcast(written(taken, "language-hashes")), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    chosen = hashed.join(written(taken, "language-hashes"), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     chosen = written(chosen.select("text", "lang"), "language-sample")
     histogram = chosen.mapInArrow(_histogram, "lang string, byte int, n long").groupBy("lang", "byte").agg(F.sum("n").alias("n")).toPandas()
     letters = {}
@@ -158,27 +174,22 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample: int
         counts[part["byte"].to_numpy()] = part["n"].to_numpy()
         letters[name] = alphabet(counts)
     symbols = {name: own for name, (own, _) in letters.items()}
-    seen = (
-        chosen.mapInArrow(lambda rows: _occurrences(rows, symbols), "lang string, string int, n long")
-        .groupBy("lang", "string")
-        .agg(F.sum("n").alias("n"))
-        .toPandas()
-    )
-    return Model({name: (*letters[name], code_lengths(part["string"].to_numpy(), part["n"].to_numpy())) for name, part in seen.groupby("lang")})
+    seen = chosen.mapInArrow(lambda rows: _occurrences(rows, symbols), "lang string, string int, n long").groupBy("lang", "string").agg(F.sum("n").alias("n"))
+    return Model(letters, written(seen.sortWithinPartitions("lang"), "language-counts"))
 
 
 def _score(batches, model, text_at: int, drop: bool):
-    held: Model = model.value
+    held = model.value
     for batch in batches:
-        bits = np.zeros((batch.num_rows, len(held.parts)))
+        bits = np.zeros((batch.num_rows, len(held)))
         for part in text_slices(batch.column(text_at)):
             full = np.diff(part.offsets) > 0
             if not full.any():
                 continue
-            for k, (symbols, rare, table) in enumerate(held.parts):
+            for k, (symbols, rare, table) in enumerate(held):
                 number, first = strings(part, symbols)
                 bits[part.first : part.last, k][full] = np.add.reduceat(table[number] + rare[part.data], first[full], dtype=np.float64)
-        rows = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(held.parts)), pa.array(bits.ravel()))
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(held)), pa.array(bits.ravel()))
         earlier = batch.schema.get_field_index("_bits")
         if earlier >= 0:
             rows = pa.array([[*a, *b] for a, b in zip(batch.column(earlier).to_pylist(), rows.to_pylist(), strict=True)], pa.list_(pa.float64()))
@@ -197,16 +208,17 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep_text: bo
     body = docs[text].cast("string")
     scored = docs.withColumn("_letters", F.coalesce(body.rlike(r"\p{L}"), F.lit(False)))
     at = scored.columns.index(text)
-    blocks = [(model.languages[k : k + BLOCK], model.parts[k : k + BLOCK]) for k in range(0, len(model.languages), BLOCK)]
-    for k, (names, parts) in enumerate(blocks):
+    blocks = model.blocks()
+    for k, languages in enumerate(blocks):
         last = k + 1 == len(blocks)
-        held = spark.sparkContext.broadcast(Model(dict(zip(names, parts, strict=True))))
+        held = spark.sparkContext.broadcast(model.laid_out(languages))
         drop = last and not keep_text
         fields = [f for f in scored.schema.fields if f.name != "_bits" and not (drop and f.name == text)]
         schema = T.StructType([*fields, T.StructField("_bits", T.ArrayType(T.DoubleType()))])
         scored = scored.mapInArrow(lambda rows, held=held, drop=drop: _score(rows, held, at, drop), schema)
         if not last:
             scored = written(scored, "language-bits")
+            held.destroy()
     least = F.array_min("_bits")
     weight = F.aggregate("_bits", F.lit(0.0), lambda total, b: total + F.pow(F.lit(2.0), F.greatest(least - b, F.lit(-1000.0))))
     named = F.element_at(F.array(*[F.lit(x) for x in model.languages]), F.array_position("_bits", least).cast("int"))

@@ -56,3 +56,18 @@ def test_copies_neither_fill_nor_empty_the_sample(spark):
     again = ln.fit(docs.dropDuplicates().repartition(3), sample=20)
     for one, other in zip(model.parts, again.parts, strict=True):
         assert all((a == b).all() for a, b in zip(one, other, strict=True))
+
+
+def test_tables_of_many_languages_are_laid_out_by_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    own = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for k in range(70)}
+    rows = [(" ".join(rng.choices(words, k=20)), lang) for lang, words in own.items() for _ in range(3)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = ln.fit(docs)
+    sizes = []
+    laid_out = ln.Model.laid_out
+    monkeypatch.setattr(ln, "BLOCK", 16)
+    monkeypatch.setattr(ln.Model, "laid_out", lambda self, languages: sizes.append(len(languages)) or laid_out(self, languages))
+    got = ln.identify(docs, model).collect()
+    assert sizes == [16, 16, 16, 16, 6]
+    assert all(r.lang == r.lang_pred for r in got) and len(got) == len(rows)
