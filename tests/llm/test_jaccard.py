@@ -144,23 +144,3 @@ def test_star_contraction(spark):
 def test_no_rows(no_docs):
     assert jaccard.join_components(no_docs).count() == 0
     assert jaccard.keep_one(no_docs).count() == 0
-
-
-def test_the_set_of_more_pairs_is_salted(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "FAN_OUT", 10)
-    star = [(k, 1000) for k in range(95)] + [(2000, 2000 + k) for k in range(1, 25)] + [(3000, 3001)]
-    turned = jaccard._turned(spark.createDataFrame(star, "a long, b long")).collect()
-    assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in turned) == sorted(star)
-    assert {(r.a, r.salts) for r in turned if r.a != 3000} == {(1000, 10), (2000, 3)}
-    rng = random.Random(3)
-    pairs = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(700)})
-    turned = jaccard._turned(spark.createDataFrame(pairs, "a long, b long")).collect()
-    held = [r.b for r in turned]
-    assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in turned) == pairs
-    assert max(map(held.count, held)) ** 2 <= 2 * len(pairs)
-
-
-def test_large_buckets_have_several_orders(random_docs, monkeypatch):
-    monkeypatch.setattr(jaccard, "CHAIN", 2)
-    monkeypatch.setattr(jaccard, "FAN_OUT", 2)
-    assert _got(random_docs, percent=60) == _brute(_rows(random_docs), 60)
