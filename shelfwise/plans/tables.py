@@ -235,8 +235,8 @@ def ddl_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o_name, l_name = unique_name("orders_bkt"), unique_name("lineitem_bkt")
     orders = t.orders.select("o_orderkey", "o_orderstatus")
     items = t.lineitem.select("l_orderkey", "l_extendedprice")
-    # One bucket count for both sides (from the bytes of the larger), so the
-    # join pairs bucket i with bucket i.
+    # One bucket count for both sides (from the rows of both), so the join
+    # pairs bucket i with bucket i.
     n = catalog.bucket_count(orders, items, minimum=MIN_BUCKETS)
     catalog.save_bucketed(orders, o_name, "o_orderkey", n)
     catalog.save_bucketed(items, l_name, "l_orderkey", n)

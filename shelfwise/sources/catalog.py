@@ -18,7 +18,8 @@ Scale notes
 * Bucketed tables hash-partition and sort on the bucket key once at write;
   joins and aggregations on that key then read the buckets without a shuffle.
   A bucketed scan runs one task per bucket, so the bucket count grows with
-  the table's bytes up to a bound Spark accepts: :func:`buckets_for_bytes`.
+  the table up to a bound Spark accepts: with its bytes (:func:`buckets_for_bytes`)
+  and with the rows that one task has to sort (:func:`bucket_count`).
   The write shuffles on the bucket key first, so each bucket is one file
   written by one task (without it every writer task would write a file for
   every bucket).
@@ -39,6 +40,8 @@ from shelfwise.session import session_conf, unique_name
 _UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
 BUCKET_BYTES = 256 * 1024 * 1024
 MAX_BUCKETS = 50_000
+SORT_BYTES = 128 * 1024 * 1024
+_SORT_ROW_BYTES = 48  # of a row in a sort beside its columns: lengths, and 16 for pointer and prefix in an array that doubles as it grows
 
 
 def ddl_columns(schema: T.StructType) -> str:
@@ -166,11 +169,23 @@ def planned_bytes(df: DataFrame) -> int:
     return math.ceil(float(size) * 1024 ** _UNITS.index(unit))
 
 
+def sorted_bytes(df: DataFrame) -> int:
+    """About the memory that a sort of all rows takes: their number (one count; a plain
+    Parquet scan answers it from its footers) times the planner's size of a row."""
+    return df.count() * (planned_bytes(df.limit(1)) + _SORT_ROW_BYTES)
+
+
 def bucket_count(*dfs: DataFrame, minimum: int = 1) -> int:
-    """Buckets for tables that will be joined on their bucket key, from the
-    planner's size of the largest input (file sizes for a scan; nothing is run).
-    Tables joined bucket to bucket must share the count."""
-    return buckets_for_bytes(max(map(planned_bytes, dfs)), minimum)
+    """Buckets for tables that will be joined on their bucket key.
+
+    Two bounds hold up to ``MAX_BUCKETS``: the planner's size of the largest input
+    (file sizes for a scan) is at most ``BUCKET_BYTES`` a bucket, and the rows of one
+    bucket of every table, which the task that joins them sorts, take at most
+    ``SORT_BYTES``.  The second needs the rows: few bytes of compressed columns
+    may hold many.  Tables joined bucket to bucket must share the count.
+    """
+    by_files = buckets_for_bytes(max(map(planned_bytes, dfs)), minimum)
+    return min(MAX_BUCKETS, max(by_files, -(-sum(map(sorted_bytes, dfs)) // SORT_BYTES)))
 
 
 def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, fmt: str = "parquet") -> str:

@@ -57,3 +57,15 @@ def test_lookup_opens_only_named_files(spark):
 def test_planned_bytes(spark):
     small, large = spark.range(10), spark.range(100_000)
     assert 0 < catalog.planned_bytes(small) < catalog.planned_bytes(large)
+
+
+def test_buckets_follow_rows_not_compressed_bytes(spark):
+    path, n = scratch_path(spark, "compressed"), 4_000_000
+    spark.range(n).selectExpr("id div 1000 as k", "1.5D as v").write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert catalog.buckets_for_bytes(catalog.planned_bytes(rows)) == 1  # so many rows in one small file
+    buckets = catalog.bucket_count(rows)
+    assert buckets >= 3 and catalog.sorted_bytes(rows) <= buckets * catalog.SORT_BYTES
+    assert catalog.bucket_count(rows, rows) >= 2 * buckets - 1  # a task sorts a bucket of each
+    assert catalog.sorted_bytes(rows.unionByName(rows)) == 2 * catalog.sorted_bytes(rows)
+    assert catalog.bucket_count(rows.where("k < 0"), minimum=4) == 4
