@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.cleaning import fill_null_sentinels
+from shelfwise.session import session_conf
 from shelfwise.sources.catalog import create_table, overwrite_partitions, spread_for_partitioned_write
 from shelfwise.sources.formats import NULL_MARK, convert, parse_delimited_lines, to_delimited_lines, write_as
 
@@ -74,10 +75,12 @@ def import_in_splits(df: DataFrame, path: str, key: str, m: int, fmt: str = "par
 
     One folder ``split=k`` per task under ``path``; returns the rows read back,
     with their ``split``.  The split is the task's number, and none is larger than
-    another (:func:`split_rule`).
+    another (:func:`split_rule`).  A task holds one split and streams its rows to one
+    file: they are not sorted by split first, which would take the memory of a whole split.
     """
     placed = df.withColumn("split", split_rule(df, key, m)).repartitionById(m, F.col("split"))
-    write_as(placed, path, fmt, compression, partitionBy="split", **options)
+    with session_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=m + 1):
+        write_as(placed, path, fmt, compression, partitionBy="split", **options)
     return df.sparkSession.read.schema(placed.schema).format(fmt).load(path)
 
 

@@ -102,3 +102,21 @@ def test_splits_of_odd_tables(spark):
     assert _split_sizes(spark, df.where("k > 5"), "k", 3) == {}
     assert _split_sizes(spark, df.where("k is null"), "k", 3) == {0: 2}
     assert _split_sizes(spark, df, "k", 1) == {0: 3}
+
+
+def _last_write(spark):
+    """The physical plan of the last write to files."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(runs.size())]
+    return [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p][-1]
+
+
+def test_a_split_is_streamed_to_its_file(spark):
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+    df = spark.range(3000).selectExpr("id", "id % 50 as k")
+    _split_sizes(spark, df, "k", 3)
+    plan = _last_write(spark)
+    assert "Sort" not in plan and plan.count("Exchange") > 0  # no task holds its split to sort it
+    assert spark.conf.get(conf) == before
